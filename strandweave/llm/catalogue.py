@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from . import queries_dedup, queries_mixing
+from . import queries_columns, queries_dedup, queries_mixing
 
 QUERIES: dict = {}
 ORACLES: dict = {}
 
-for _module in (queries_dedup, queries_mixing):
+for _module in (queries_columns, queries_dedup, queries_mixing):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
