@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, near_dup
 from .common import LOWER, UPPER, table
 
 
@@ -11,7 +11,12 @@ def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.decisions(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup}
+def op7_minhash_near_dedup(spark, sf_dir):
+    """Components of documents whose 3-word shingle sets are 85 % alike or more."""
+    return near_dup.decisions(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
+QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op7_minhash_near_dedup": op7_minhash_near_dedup}
 
 ORACLES = {
     "op3_exact_dedup": f"""
