@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import queries_columns, queries_dedup, queries_mixing
+import corpus_pipeline
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from . import queries_columns, queries_corpus, queries_dedup, queries_mixing
 
-for _module in (queries_columns, queries_dedup, queries_mixing):
+QUERIES: dict = {"pipeline": corpus_pipeline.run}
+ORACLES: dict = {"pipeline": corpus_pipeline.ORACLE_SQL}
+
+for _module in (queries_columns, queries_corpus, queries_dedup, queries_mixing):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
