@@ -15,11 +15,46 @@ import public_tokenizers
 import regex
 from tokenizers import Tokenizer
 
-#: Remembered words of one worker; beyond, it starts afresh.
-MOST_WORDS = 600_000
+#: Remembered words of one worker: this many new ones, and as many of before that have been met again or not yet forgotten.
+MOST_WORDS = 700_000
 
 
-class WordIds(dict):
+class Memory(dict):
+    """text -> value, in two generations, so that common texts outlive the rare ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.before: dict = {}
+
+    def make(self, key: str):
+        raise NotImplementedError
+
+    def __missing__(self, key: str):
+        if len(self) >= MOST_WORDS:
+            self.before = dict(self)
+            self.clear()
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
+        return value
+
+
+def _byte_letters() -> dict[int, int]:
+    """The alphabet of byte-level BPE: a printable byte is its own letter, the others take code points from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return dict(zip(own, own, strict=True)) | {b: 256 + k for k, b in enumerate(others)}
+
+
+BYTE_LETTERS = _byte_letters()
+
+
+def letters_of(piece: str) -> str:
+    return piece if piece.isascii() and " " not in piece else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+
+
+class WordIds(Memory):
     """chunk without spaces -> its ids as little-endian 32-bit words.
 
     For tokenizers whose pre-tokeniser drops white space (word_bpe_49k.json).
@@ -28,20 +63,26 @@ class WordIds(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # a plain word is one pre-token, so the merges alone give its ids
+        self.merges_alone = all(self._merged(x) == self._encoded(x) for x in ("the", "unthinkable", "québécois", "größenordnung", "a"))
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= MOST_WORDS:
-            self.clear()
+    def _merged(self, word: str) -> bytes:
+        found = self.model.tokenize(letters_of(word))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
+    def _encoded(self, chunk: str) -> bytes:
+        found = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        return struct.pack(f"<{len(found)}I", *found)
+
+    def make(self, chunk: str) -> bytes:
         body, last = chunk[:-1], chunk[-1:]
         if body and last in ".," and body.isalpha():  # letters and a mark are two pre-tokens
-            ids = self[body] + self[last]
-        elif chunk.isascii() and chunk.isalpha() and not chunk.islower():
-            ids = self[chunk.lower()]
-        else:
-            found = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-            ids = struct.pack(f"<{len(found)}I", *found)
-        self[chunk] = ids
-        return ids
+            return self[body] + self[last]
+        if chunk.isalpha() and (chunk.isascii() or max(chunk) < "\u0100"):  # Latin-1 is in normal form, and lower-casing is plain
+            low = chunk.lower()
+            return self[low] if low != chunk else self._merged(chunk) if self.merges_alone else self._encoded(chunk)
+        return self._encoded(chunk)
 
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
@@ -52,7 +93,7 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-class PieceSpans(dict):
+class PieceSpans(Memory):
     """pre-token -> (token count, relative starts, relative ends) in characters.
 
     For byte-level BPE; a token that holds part of a character's bytes spans
@@ -63,14 +104,24 @@ class PieceSpans(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.split = regex.compile(pattern)
 
-    def __missing__(self, piece: str):
-        if len(self) >= MOST_WORDS:
-            self.clear()
+    @staticmethod
+    def plain(piece: str) -> bool:
+        """A Latin-1 word, perhaps after a space: the merges alone give its tokens."""
+        word = piece[1:] if piece[:1] == " " else piece
+        return word.isalpha() and (word.isascii() or max(word) < "\u0100")
+
+    def make(self, piece: str):
+        if self.plain(piece):
+            ends = np.cumsum([len(t.value) for t in self.model.tokenize(letters_of(piece))]).tolist()
+            if not piece.isascii():  # from bytes to the characters that hold them
+                at = [k for k, c in enumerate(piece) for _ in range(1 if c < "\x80" else 2)]
+                return len(ends), tuple(at[b] for b in [0, *ends[:-1]]), tuple(at[b - 1] + 1 for b in ends)
+            return len(ends), (0, *ends[:-1]), tuple(ends)
         offsets = self.tokenizer.encode(piece, add_special_tokens=False).offsets
-        self[piece] = found = (len(offsets), tuple(a for a, _ in offsets), tuple(b for _, b in offsets))
-        return found
+        return len(offsets), tuple(a for a, _ in offsets), tuple(b for _, b in offsets)
 
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of all tokens of a text."""
@@ -86,6 +137,17 @@ class PieceSpans(dict):
         return starts + at, ends + at
 
 
+class PieceCounts(Memory):
+    """pre-token -> how many tokens it has."""
+
+    def __init__(self, spans: PieceSpans):
+        super().__init__()
+        self.spans = spans
+
+    def make(self, piece: str) -> int:
+        return len(self.spans.model.tokenize(letters_of(piece))) if self.spans.plain(piece) else self.spans[piece][0]
+
+
 @lru_cache(maxsize=2)
 def piece_spans(path: str, pattern: str) -> PieceSpans:
     return PieceSpans(path, pattern)
