@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import matroska, toxicity
+from . import matroska, token_counts, toxicity
 from .common import table
 
 
@@ -17,6 +17,11 @@ def op8_ftrl_toxicity(spark, sf_dir):
     return toxicity.verdicts(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op1_matroska": op1_matroska, "op8_ftrl_toxicity": op8_ftrl_toxicity}
+def op10_token_attribution(spark, sf_dir):
+    """Tokens of every line of every document; a token that crosses lines counts where most of it lies."""
+    return token_counts.attribute(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_matroska": op1_matroska, "op8_ftrl_toxicity": op8_ftrl_toxicity, "op10_token_attribution": op10_token_attribution}
 
 ORACLES: dict = {}
