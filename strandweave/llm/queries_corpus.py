@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import lm_score
+from . import lm_score, pii
 from .common import LOWER, UPPER, table
 
 
@@ -14,7 +14,17 @@ def op9_stupid_backoff(spark, sf_dir):
     return scored.select("doc_id", "n_words", F.round("log_score", 3).alias("log_score"), F.round("mean_log_score", 5).alias("mean_log_score"))
 
 
-QUERIES = {"op9_stupid_backoff": op9_stupid_backoff}
+#: Stands in for the secret that a user gives.
+DEMONSTRATION_KEY = b"not a secret: replace by your own"
+
+
+def op6_pii_surrogates(spark, sf_dir):
+    """Every document with its personal data replaced by keyed surrogates."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, DEMONSTRATION_KEY)
+
+
+QUERIES = {"op6_pii_surrogates": op6_pii_surrogates, "op9_stupid_backoff": op9_stupid_backoff}
 
 ORACLES = {
     "op9_stupid_backoff": f"""
