@@ -1,0 +1,160 @@
+"""Documents in blocks of a bounded number of words, and corpus-wide counts of hashed keys asked for by block.
+
+Each block names the distinct keys it has, dealt out by hash: that is the
+count table, in as many partitions as the corpus needs. A partition adds up
+the blocks' counts and answers every block that asked. A common key is one
+entry a block, however often it occurs, so none is hot. The entries travel
+as sorted, coded hashes in one row per block and partition.
+"""
+
+from __future__ import annotations
+
+import struct
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from .common import WordHashes, word_hashes
+
+BLOCK_WORDS = 2_000_000
+#: Keys that a partition of the count table is meant to hold.
+PARTITION_KEYS = 3_000_000
+
+
+def key_bits(total: int) -> int:
+    """Bits kept of a key's hash, so that about one key in 2^24 or fewer is taken for another, at any size of corpus."""
+    return min(64, max(48, total.bit_length() + 24))
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of unsigned 64-bit, signed 32-bit or small unsigned integers, compressed."""
+    head = struct.pack("<B", len(arrays)) + b"".join(struct.pack("<cBQ", a.dtype.kind.encode(), a.dtype.itemsize, len(a)) for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    count, at = raw[0], 1
+    kinds = [struct.unpack_from("<cBQ", raw, at + 10 * k) for k in range(count)]
+    at, out = at + 10 * count, []
+    for kind, width, n in kinds:
+        out.append(np.frombuffer(raw, f"{kind.decode()}{width}", n, at))
+        at += width * n
+    return out
+
+
+def coded(values: np.ndarray) -> bytes:
+    """Sorted distinct integers: their low bytes as they are, and the steps of what is left, which are small."""
+    low, base = 0, values[:1]
+    values = values - base[0] if len(values) else values
+    while low < 7 and len(values) and int(values[-1]) >> 8 * low > 4 * len(values):
+        low += 1
+    lower = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :low]
+    return pack(np.array([low], np.uint8), base, np.ascontiguousarray(lower).ravel(), small(np.diff(values >> np.uint64(8 * low), prepend=np.uint64(0))))
+
+
+def decoded(data: bytes) -> np.ndarray:
+    (low,), base, lower, steps = unpack(data)
+    full = np.zeros((len(steps), 8), np.uint8)
+    full[:, :low] = lower.reshape(-1, low) if low else 0
+    return full.view("<u8").ravel() + (np.cumsum(steps.astype(np.uint64), dtype=np.uint64) << np.uint64(8 * int(low))) + base
+
+
+def small(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.min_scalar_type(int(counts.max()) if len(counts) else 0))
+
+
+def block_table(docs: DataFrame, text: str, ident: str, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """block, n_words, idents, body: runs of whole documents as their words' places in the block's vocabulary."""
+    narrow = docs.select(F.col(ident).alias("__id"), F.col(text).cast("string").alias("__text"))
+    kind = narrow.schema["__id"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, first, made = WordHashes(), TaskContext.get().partitionId() << 32, 0
+        idents, words, held, id_type = [], [], 0, None
+
+        def close():
+            nonlocal idents, words, held, made
+            lengths = np.array([len(w) for w in words], np.int32)
+            vocabulary, places, often = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
+            rank = np.empty(len(often), np.uint32)
+            rank[np.argsort(-often, kind="stable")] = np.arange(len(often), dtype=np.uint32)
+            planes = rank[places].view(np.uint8).reshape(-1, 4).T  # common words have small numbers: the planes compress well
+            out = pa.RecordBatch.from_arrays([pa.array([first + made], pa.int64()), pa.array([held], pa.int64()), pa.array([idents], pa.list_(id_type)), pa.array([pack(lengths, rank, np.ascontiguousarray(planes).ravel(), np.frombuffer(coded(vocabulary), np.uint8))], pa.binary())], names=["block", "n_words", "idents", "body"])
+            idents, words, held, made = [], [], 0, made + 1
+            return out
+
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            for who, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                idents.append(who)
+                words.append(word_hashes(body.as_py(), known))
+                held += len(words[-1])
+                if held >= block_words or len(idents) >= 200_000:
+                    yield close()
+        if idents:
+            yield close()
+
+    return narrow.mapInArrow(run, T.StructType().add("block", "long").add("n_words", "long").add("idents", T.ArrayType(kind)).add("body", "binary"))
+
+
+def opened(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lengths of the documents, word hashes, document of each word) of a block."""
+    lengths, rank, planes, vocabulary = unpack(body)
+    by_rank = np.empty(len(rank), np.uint64)
+    by_rank[rank] = decoded(vocabulary.tobytes())
+    places = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+    return lengths, by_rank[places], np.repeat(np.arange(len(lengths)), lengths)
+
+
+def partitions(total: int, each: int) -> int:
+    """A power of two."""
+    return 1 << max(0, (max(1, total) - 1) // each).bit_length()
+
+
+def asked(made: DataFrame, lists: Callable[[np.ndarray, np.ndarray], list[np.ndarray]], parts: int, bits: int) -> DataFrame:
+    """block, part, list, grams, seen: each block's distinct keys and their counts, by list and partition.
+
+    lists: from a block's word hashes and their documents to lists of 64-bit keys, with repeats.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for who, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                _, words, doc = opened(body.as_py())
+                for n, keys in enumerate(lists(words, doc), 1):
+                    found, counts = np.unique(keys >> np.uint64(64 - bits), return_counts=True)
+                    edges = edges_of(found, parts, bits)
+                    rows = [k for k in range(parts) if edges[k] < edges[k + 1]]
+                    if rows:
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([who] * len(rows), pa.int64()), pa.array(rows, pa.int32()), pa.array([n] * len(rows), pa.int32()), pa.array([coded(found[edges[k] : edges[k + 1]]) for k in rows], pa.binary()), pa.array([pack(small(counts[edges[k] : edges[k + 1]])) for k in rows], pa.binary())],
+                            names=["block", "part", "list", "grams", "seen"],
+                        )
+
+    return made.select("block", "body").mapInArrow(run, "block long, part int, list int, grams binary, seen binary")
+
+
+def edges_of(found: np.ndarray, parts: int, bits: int) -> np.ndarray:
+    """Where each of `parts` (a power of two) ranges of hashes starts in a sorted array."""
+    shift = bits - (parts.bit_length() - 1)
+    return np.append(np.searchsorted(found, np.arange(parts, dtype=np.uint64) << np.uint64(shift)), len(found))
+
+
+def answered(questions: DataFrame) -> DataFrame:
+    """block, part, list, counts: corpus counts of the keys each block asked for, in its order."""
+
+    def run(table: pa.Table) -> pa.Table:
+        lists = [decoded(g) for g in table["grams"].to_pylist()]
+        seen = np.concatenate([unpack(s)[0].astype(np.int64) for s in table["seen"].to_pylist()])
+        _, place = np.unique(np.concatenate(lists), return_inverse=True)
+        total = np.bincount(place, weights=seen).astype(np.int64)
+        edges = np.cumsum([0] + [len(x) for x in lists])
+        counts = [pack(small(total[place[a:b]])) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return pa.table([table["block"], table["part"], table["list"], pa.array(counts, pa.binary())], names=["block", "part", "list", "counts"])
+
+    return questions.groupBy("list", "part").applyInArrow(run, "block long, part int, list int, counts binary")

@@ -1,70 +1,20 @@
 """Stupid-backoff language-model scores of whole documents, from counts over the whole corpus.
 
-Documents are gathered in blocks of a bounded number of words. Each block
-names its distinct n-grams, dealt out by hash: that is the n-gram count
-table, partitioned by hash, with as many partitions as the corpus needs.
-A partition adds up the blocks' counts and answers every block that asked;
-the answers are joined to the block's own n-grams, and the scores of all
-positions are summed per document. A common n-gram is one entry a block,
-however often it occurs, so no key is hot. The entries travel as sorted,
-gap-coded 56-bit hashes in one row per block and partition.
+The n-gram count tables are partitioned by hash, with as many partitions as
+the corpus needs (`blocks`). Their counts are joined to the n-grams of each
+block of documents, and the scores of all positions are summed per document.
 """
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import WordHashes, cut, mix, word_hashes
+from .blocks import BLOCK_WORDS, PARTITION_KEYS, answered, asked, block_table, key_bits, opened, partitions, unpack
+from .common import cut, mix
 
 ORDER, BACKOFF, CUTOFF = 3, 0.4, 2
-BLOCK_WORDS = 2_000_000
-#: Entries of n-grams that a partition of the count table is meant to hold.
-PARTITION_GRAMS = 3_000_000
-#: Bits kept of an n-gram's hash: among 1e9 n-grams, about one in 7e7 is taken for another.
-GRAM_BITS = 56
-
-
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of unsigned 64-bit, signed 32-bit or small unsigned integers, compressed."""
-    head = struct.pack("<B", len(arrays)) + b"".join(struct.pack("<cBQ", a.dtype.kind.encode(), a.dtype.itemsize, len(a)) for a in arrays)
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
-
-
-def _unpack(data: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(data)
-    count, at = raw[0], 1
-    kinds = [struct.unpack_from("<cBQ", raw, at + 10 * k) for k in range(count)]
-    at, out = at + 10 * count, []
-    for kind, width, n in kinds:
-        out.append(np.frombuffer(raw, f"{kind.decode()}{width}", n, at))
-        at += width * n
-    return out
-
-
-def gap_coded(values: np.ndarray) -> bytes:
-    """Sorted distinct integers as gaps of the fewest whole bytes that hold them all."""
-    gaps = np.diff(values, prepend=np.uint64(0))
-    width = max(1, (int(gaps.max()).bit_length() + 7) // 8) if len(gaps) else 1
-    return bytes([width]) + gaps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
-
-
-def gap_decoded(data: bytes) -> np.ndarray:
-    width = data[0]
-    body = np.frombuffer(data, np.uint8, offset=1).reshape(-1, width)
-    full = np.zeros((len(body), 8), np.uint8)
-    full[:, :width] = body
-    return np.cumsum(full.view("<u8").ravel(), dtype=np.uint64)
-
-
-def small(counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.min_scalar_type(int(counts.max()) if len(counts) else 0))
 
 
 def grams(words: np.ndarray, doc: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -78,84 +28,16 @@ def grams(words: np.ndarray, doc: np.ndarray, order: int) -> list[tuple[np.ndarr
         whole[n - 1 :] = doc[n - 1 :] == doc[: max(0, len(doc) - n + 1)]
         out.append((longer, whole))
         rolled = longer
-    return [((h >> np.uint64(64 - GRAM_BITS)), whole) for h, whole in out]
-
-
-def blocks(docs: DataFrame, text: str, ident: str, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """block, n_words, idents, body: runs of whole documents as their words' places in the block's vocabulary."""
-    narrow = docs.select(F.col(ident).alias("__id"), F.col(text).cast("string").alias("__text"))
-    kind = narrow.schema["__id"].dataType
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, first, made = WordHashes(), TaskContext.get().partitionId() << 32, 0
-        idents, words, held, id_type = [], [], 0, None
-
-        def close():
-            nonlocal idents, words, held, made
-            lengths = np.array([len(w) for w in words], np.int32)
-            vocabulary, places = np.unique(np.concatenate(words), return_inverse=True)
-            out = pa.RecordBatch.from_arrays([pa.array([first + made], pa.int64()), pa.array([held], pa.int64()), pa.array([idents], pa.list_(id_type)), pa.array([_pack(lengths, vocabulary, places.astype(np.int32))], pa.binary())], names=["block", "n_words", "idents", "body"])
-            idents, words, held, made = [], [], 0, made + 1
-            return out
-
-        for batch in batches:
-            id_type = batch.schema.field(0).type
-            for who, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                idents.append(who)
-                words.append(word_hashes(body.as_py(), known))
-                held += len(words[-1])
-                if held >= block_words or len(idents) >= 200_000:
-                    yield close()
-        if idents:
-            yield close()
-
-    return narrow.mapInArrow(run, T.StructType().add("block", "long").add("n_words", "long").add("idents", T.ArrayType(kind)).add("body", "binary"))
-
-
-def _opened(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    lengths, vocabulary, places = _unpack(body)
-    return lengths, vocabulary[places], np.repeat(np.arange(len(lengths)), lengths)
-
-
-def asked(block_table: DataFrame, order: int, parts: int) -> DataFrame:
-    """block, part, ord, grams, seen: each block's distinct n-grams and their counts, by partition."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for who, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                _, words, doc = _opened(body.as_py())
-                for n, (hashes, whole) in enumerate(grams(words, doc, order), 1):
-                    found, counts = np.unique(hashes[whole], return_counts=True)
-                    edges = _edges(found, parts)
-                    rows = [k for k in range(parts) if edges[k] < edges[k + 1]]
-                    if rows:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([who] * len(rows), pa.int64()), pa.array(rows, pa.int32()), pa.array([n] * len(rows), pa.int32()), pa.array([gap_coded(found[edges[k] : edges[k + 1]]) for k in rows], pa.binary()), pa.array([_pack(small(counts[edges[k] : edges[k + 1]])) for k in rows], pa.binary())],
-                            names=["block", "part", "ord", "grams", "seen"],
-                        )
-
-    return block_table.select("block", "body").mapInArrow(run, "block long, part int, ord int, grams binary, seen binary")
-
-
-def _edges(found: np.ndarray, parts: int) -> np.ndarray:
-    """Where each of `parts` (a power of two) ranges of hashes starts in a sorted array."""
-    shift = GRAM_BITS - (parts.bit_length() - 1)
-    return np.append(np.searchsorted(found, np.arange(parts, dtype=np.uint64) << np.uint64(shift)), len(found))
+    return out
 
 
-def answered(questions: DataFrame) -> DataFrame:
-    """block, part, ord, counts: corpus counts of the n-grams each block asked for, in its order."""
+def gram_lists(order: int):
+    """What a block asks for: its n-grams of each length."""
 
-    def run(table: pa.Table) -> pa.Table:
-        lists = [gap_decoded(g) for g in table["grams"].to_pylist()]
-        seen = np.concatenate([_unpack(s)[0].astype(np.int64) for s in table["seen"].to_pylist()])
-        _, place = np.unique(np.concatenate(lists), return_inverse=True)
-        total = np.bincount(place, weights=seen).astype(np.int64)
-        edges = np.cumsum([0] + [len(x) for x in lists])
-        counts = [_pack(small(total[place[a:b]])) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-        return pa.table([table["block"], table["part"], table["ord"], pa.array(counts, pa.binary())], names=["block", "part", "ord", "counts"])
+    def of(words: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
+        return [hashes[whole] for hashes, whole in grams(words, doc, order)]
 
-    return questions.groupBy("ord", "part").applyInArrow(run, "block long, part int, ord int, counts binary")
+    return of
 
 
 def position_scores(counts: list[np.ndarray], whole: list[np.ndarray], total: int, backoff: float, cutoff: int) -> np.ndarray:
@@ -171,7 +53,7 @@ def position_scores(counts: list[np.ndarray], whole: list[np.ndarray], total: in
     return out
 
 
-def scores(docs: DataFrame, text: str = "text", ident: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, cutoff: int = CUTOFF, block_words: int = BLOCK_WORDS, partition_grams: int = PARTITION_GRAMS) -> DataFrame:
+def scores(docs: DataFrame, text: str = "text", ident: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, cutoff: int = CUTOFF, block_words: int = BLOCK_WORDS, partition_keys: int = PARTITION_KEYS) -> DataFrame:
     """One row per row of docs: ident, n_words, log_score (natural, summed), mean_log_score.
 
     S(w | context) is c(context w) / c(context) if the n-gram was counted at
@@ -180,23 +62,23 @@ def scores(docs: DataFrame, text: str = "text", ident: str = "doc_id", order: in
     contexts don't reach over the start of a document. Null and empty texts
     have 0 words and scores of 0. Repeated rows count as often as they are there.
     """
-    made = cut(blocks(docs, text, ident, block_words))
+    made = cut(block_table(docs, text, ident, block_words))
     total = made.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    parts = 1 << max(0, (max(1, total) - 1) // partition_grams).bit_length()
-    answers = answered(asked(made, order, parts))
+    bits = key_bits(total)
+    answers = answered(asked(made, gram_lists(order), partitions(total, partition_keys), bits))
     kind = made.schema["idents"].dataType.elementType
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         (body,), (idents,) = left["body"].to_pylist(), left["idents"].combine_chunks().to_pylist() if left.num_rows else [[]]
-        lengths, words, doc = _opened(body)
+        lengths, words, doc = opened(body)
         by = {}
-        for n, part, counts in sorted(zip(right["ord"].to_pylist(), right["part"].to_pylist(), right["counts"].to_pylist(), strict=True), key=lambda x: x[:2]):
-            by.setdefault(n, []).append(_unpack(counts)[0])
+        for n, part, counts in sorted(zip(right["list"].to_pylist(), right["part"].to_pylist(), right["counts"].to_pylist(), strict=True), key=lambda x: x[:2]):
+            by.setdefault(n, []).append(unpack(counts)[0])
         counts, usable = [], []
         for n, (hashes, whole) in enumerate(grams(words, doc, order), 1):
             at = np.zeros(len(words), np.int64)
             if whole.any():
-                _, place = np.unique(hashes[whole], return_inverse=True)
+                _, place = np.unique(hashes[whole] >> np.uint64(64 - bits), return_inverse=True)
                 at[whole] = np.concatenate(by[n]).astype(np.int64)[place]
             counts.append(at)
             usable.append(whole)

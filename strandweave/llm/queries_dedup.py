@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, near_dup
+from . import exact_dedup, near_dup, passages
 from .common import LOWER, UPPER, table
 
 
@@ -16,7 +16,12 @@ def op7_minhash_near_dedup(spark, sf_dir):
     return near_dup.decisions(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op7_minhash_near_dedup": op7_minhash_near_dedup}
+def op2_compact_windows(spark, sf_dir):
+    """Spans of at least 50 words that other documents repeat, exactly or nearly."""
+    return passages.repeated(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_compact_windows": op2_compact_windows, "op3_exact_dedup": op3_exact_dedup, "op7_minhash_near_dedup": op7_minhash_near_dedup}
 
 ORACLES = {
     "op3_exact_dedup": f"""
