@@ -81,10 +81,14 @@ def block_table(docs: DataFrame, text: str, ident: str, block_words: int = BLOCK
             nonlocal idents, words, held, made
             lengths = np.array([len(w) for w in words], np.int32)
             vocabulary, places, often = np.unique(np.concatenate(words), return_inverse=True, return_counts=True)
-            rank = np.empty(len(often), np.uint32)
-            rank[np.argsort(-often, kind="stable")] = np.arange(len(often), dtype=np.uint32)
-            planes = rank[places].view(np.uint8).reshape(-1, 4).T  # common words have small numbers: the planes compress well
-            out = pa.RecordBatch.from_arrays([pa.array([first + made], pa.int64()), pa.array([held], pa.int64()), pa.array([idents], pa.list_(id_type)), pa.array([pack(lengths, rank, np.ascontiguousarray(planes).ravel(), np.frombuffer(coded(vocabulary), np.uint8))], pa.binary())], names=["block", "n_words", "idents", "body"])
+            tier = np.frexp(often.astype(np.float64))[1]  # of words about as common, by hash: common words get small numbers
+            order = np.lexsort((vocabulary, -tier))
+            number = np.empty(len(order), np.uint32)
+            number[order] = np.arange(len(order), dtype=np.uint32)
+            planes = number[places].view(np.uint8).reshape(-1, 4).T
+            cuts = np.flatnonzero(np.diff(tier[order])) + 1
+            tiers = [np.frombuffer(coded(t), np.uint8) for t in np.split(vocabulary[order], cuts)]
+            out = pa.RecordBatch.from_arrays([pa.array([first + made], pa.int64()), pa.array([held], pa.int64()), pa.array([idents], pa.list_(id_type)), pa.array([pack(lengths, np.ascontiguousarray(planes).ravel(), *tiers)], pa.binary())], names=["block", "n_words", "idents", "body"])
             idents, words, held, made = [], [], 0, made + 1
             return out
 
@@ -104,11 +108,10 @@ def block_table(docs: DataFrame, text: str, ident: str, block_words: int = BLOCK
 
 def opened(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(lengths of the documents, word hashes, document of each word) of a block."""
-    lengths, rank, planes, vocabulary = unpack(body)
-    by_rank = np.empty(len(rank), np.uint64)
-    by_rank[rank] = decoded(vocabulary.tobytes())
+    lengths, planes, *tiers = unpack(body)
+    vocabulary = np.concatenate([decoded(t.tobytes()) for t in tiers])
     places = np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
-    return lengths, by_rank[places], np.repeat(np.arange(len(lengths)), lengths)
+    return lengths, vocabulary[places], np.repeat(np.arange(len(lengths)), lengths)
 
 
 def partitions(total: int, each: int) -> int:
