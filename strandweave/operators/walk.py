@@ -69,7 +69,8 @@ def aligned_bases(reads: DataFrame, keep: list[str], trim: float = 50, indel_pad
     blocks = prepared.select(*keep, "start", "end", "qlen", "__bq", "__bases", F.explode(F.filter("__ops", lambda o: o["op"].isin(*BLOCK_OPS))).alias("o"))
     bases = blocks.select("*", F.explode(F.sequence(F.lit(0), F.col("o.len") - 1)).alias("k")).where("o.len > 0").withColumn("qpos", F.col("o.q") + F.col("k"))
     around = F.slice(F.col("__bq"), F.greatest(F.col("qpos") - window, F.lit(0)) + 1, F.least(F.col("qpos") + window, F.col("qlen") - 1) - F.greatest(F.col("qpos") - window, F.lit(0)) + 1)
-    total, squares = (F.aggregate(around, F.lit(0.0), lambda t, q, p=p: t + F.pow(q.cast("double"), F.lit(p))) for p in (1, 2))
+    total = F.aggregate(around, F.lit(0.0), lambda t, q: t + q)
+    squares = F.aggregate(around, F.lit(0.0), lambda t, q: t + q * q)
     mean = total / F.size(around)
     deviation = F.sqrt(F.greatest(squares / F.size(around) - mean * mean, F.lit(0.0)))
     return bases.select(

@@ -42,7 +42,7 @@ def checked(rows: DataFrame, reads: DataFrame, samples: DataFrame, threshold: in
     backed = pileup.support(dnm, counts, samples, min_alt_support)
     out = rows.withColumn("__was", F.col("annotation") == "DNM")
     out = annotate.flag_supported(out, backed, ["sample", "contig", "pos", "alt"], threshold)
-    return out.withColumn("counts", F.when("__was", F.col("counts"))).drop("__was", "n_support")
+    return out.withColumn("counts", F.when(F.col("__was"), F.col("counts"))).drop("__was", "n_support")
 
 
 def rates(rows: DataFrame, context: DataFrame) -> DataFrame:
