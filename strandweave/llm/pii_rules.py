@@ -75,7 +75,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             end = m.start(1) + len(re.split(r"[^\w./+\-]", m[1])[0])
             if end - m.start(1) >= 8:
                 value = text[m.start(1) : end]
-                found.append((m.start(1), end, "hex" if _HEX.fullmatch(value) else "secret", value))
+                found.append((m.start(1), end, "hex" if re.fullmatch("[0-9a-fA-F]+", value) else "secret", value))
     if _DIGIT.search(text):
         found += [(m.start(), m.end(), "hex", m[0]) for m in _HEX.finditer(text) if not m[0].isalpha() and not m[0].isdigit()]
         found += [(m.start(), m.end(), "iban", m[0]) for m in _IBAN.finditer(text)]
