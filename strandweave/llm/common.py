@@ -30,6 +30,11 @@ def bounded(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= most else df
 
 
+def sorted_side(df: DataFrame) -> DataFrame:
+    """df with a sort-merge hint, for the joins of loops: many broadcast tables would pile up in the driver."""
+    return df.hint("merge")
+
+
 def ascii_lower(col):
     """Lower-case A-Z only."""
     return F.translate(col, UPPER, LOWER)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut
+from .common import cut, sorted_side
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -17,19 +17,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     table gives an empty one. Nothing but row counts reaches the driver.
     """
     rest = cut(_tidy(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))))
-    labels = None
+    rounds = []
     while not rest.isEmpty():
         ends = rest.select("u", "v").unionByName(rest.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hooks = cut(ends.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("hook")))
-        hooks = cut(hooks.join(hooks.select(F.col("u").alias("hook"), F.col("hook").alias("far")), "hook", "left").select("u", F.coalesce("far", "hook").alias("hook")))
-        if labels is None:
-            labels = hooks.select(F.col("u").alias("vertex"), F.col("hook").alias("label"))
-        else:
-            labels = labels.join(hooks.select(F.col("u").alias("label"), "hook"), "label", "left").select("vertex", F.coalesce("hook", "label").alias("label"))
-        labels = cut(labels)
-        moved = rest.join(hooks, "u").select(F.col("hook").alias("a"), "v").join(hooks.select(F.col("u").alias("v"), "hook"), "v").select(F.col("a").alias("u"), F.col("hook").alias("v"))
+        near = ends.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("hook"))
+        hooks = _further(_further(near))
+        hooks = cut(hooks)
+        rounds.append(hooks)
+        moved = rest.join(sorted_side(hooks), "u").select(F.col("hook").alias("a"), "v").join(sorted_side(hooks.select(F.col("u").alias("v"), "hook")), "v").select(F.col("a").alias("u"), F.col("hook").alias("v"))
         rest = cut(_tidy(moved))
-    return rest.select(F.col("u").alias("vertex"), F.col("v").alias("label")) if labels is None else labels
+    if not rounds:
+        return rest.select(F.col("u").alias("vertex"), F.col("v").alias("label"))
+    labels = rounds[0].select(F.col("u").alias("vertex"), F.col("hook").alias("label"))
+    for hooks in rounds[1:]:
+        labels = labels.join(sorted_side(hooks.select(F.col("u").alias("label"), "hook")), "label", "left").select("vertex", F.coalesce("hook", "label").alias("label"))
+    return cut(labels)
+
+
+def _further(hooks: DataFrame) -> DataFrame:
+    """Hooks of hooks."""
+    next_ = hooks.select(F.col("u").alias("hook"), F.col("hook").alias("far"))
+    return hooks.join(sorted_side(next_), "hook", "left").select("u", F.coalesce("far", "hook").alias("hook"))
 
 
 def _tidy(edges: DataFrame) -> DataFrame:

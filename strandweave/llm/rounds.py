@@ -1,13 +1,15 @@
-"""Linking the members of buckets without drawing all pairs.
+"""Linking the members of buckets without drawing all pairs of a large one.
 
 A bucket (a band of a signature, a shared anchor) names members that may
-be alike. In a round, every bucket that still holds two components compares
-its most connected member, its leader, with the members of other
-components. Then the leader has met everybody in that bucket and leaves it.
-What joins a component needs no further comparison inside it, so a group of
-copies costs about one comparison a member. When the pairs left over are no
-more than a multiple of the memberships, they are all drawn and that is the
-end: no pair of a bucket goes undecided, so components are those of all pairs.
+be alike. In a round, a bucket whose pairs between different components are
+few for its size has them all drawn, and is done. Any other bucket picks
+leaders, the best connected of its members, which are compared with all
+members of other components; then the leaders have met everybody in that
+bucket and leave it. Where they found little, the next round has more of
+them, so that rounds stay few. What joins a component needs no further comparison
+inside it, so a group of copies costs a few comparisons a member. Rounds
+go on until no bucket holds two components: no pair of a bucket goes
+undecided, so the components are those of all pairs.
 """
 
 from __future__ import annotations
@@ -16,50 +18,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import cut
+from .common import cut, sorted_side
 from .graph import components
 
-#: All pairs that are left are drawn once they are at most this many to a membership.
-PAIRS_PER_MEMBERSHIP = 1.5
+#: A bucket's pairs are all drawn when they are at most this many to a member.
+PAIRS_PER_MEMBER = 32
+#: Leaders of a larger bucket in the first round, and how many times more there are in each further one.
+LEADERS, GROWTH = 1, 8
 
 
-def _labelled(members: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
-        return members.withColumn("comp", F.col("v"))
-    labels = components(links)
-    return members.drop("comp").join(labels.select(F.col("vertex").alias("v"), "label"), "v", "left").withColumn("comp", F.coalesce("label", "v")).drop("label")
-
-
-def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
-    """Links (a, b) between vertices that share a bucket; None if there are none to try.
+def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], pairs: int = PAIRS_PER_MEMBER, growth: int = 1) -> DataFrame:
+    """v, comp: every member's vertex and the least vertex that it reaches by links.
 
     members: bucket, v (a vertex), deg (how connected it is), m (a struct of
     what verify needs). verify gets candidates (a, b, ma, mb), each once
     up to repeats of their structs, and returns those that are linked.
+    pairs: how many to a member are drawn at once, `growth` times as many in
+    each further round.
     """
-    links = None
-    members = cut(_labelled(members, None))
-    limit = None
+    members = cut(members.withColumn("comp", F.col("v")))
+    labels = members.select("v", "comp").distinct()
+    seats = LEADERS
     while True:
         held = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        held = cut(held.select("bucket", "n", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")))
-        buckets, size, pairs = held.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("pairs"), F.lit(0.0))).first()  # one row
-        if not buckets:
-            return links
-        limit = limit or PAIRS_PER_MEMBERSHIP * size
-        members = members.join(held.select("bucket"), "bucket", "left_semi")
-        last = pairs <= limit
-        if last:
-            other = members.select("bucket", F.col("v").alias("b"), F.col("comp").alias("comp_b"), F.col("m").alias("mb"))
-            tried = members.select("bucket", F.col("v").alias("a"), "comp", F.col("m").alias("ma")).join(other, "bucket").where("a < b and comp <> comp_b")
-        else:
-            members = cut(members)
-            leaders = cut(members.groupBy("bucket").agg(F.max(F.struct("deg", "v", "comp", "m")).alias("top")))
-            met = members.join(leaders, "bucket").withColumns({"lead": F.col("top.v"), "lead_comp": F.col("top.comp"), "lead_m": F.col("top.m")}).where("v <> lead")
-            tried = met.where("comp <> lead_comp").select(F.col("lead").alias("a"), F.col("v").alias("b"), F.col("lead_m").alias("ma"), F.col("m").alias("mb"))
-        new = cut(verify(tried.select("a", "b", "ma", "mb").distinct()).select("a", "b").distinct())
-        links = new if links is None else cut(links.unionByName(new))
-        if last:
-            return links
-        members = members.join(leaders.select("bucket", F.col("top.v").alias("v")), ["bucket", "v"], "left_anti")
-        members = cut(_labelled(members, links))
+        held = held.select("bucket", ((F.col("n") * F.col("n") - F.col("own")) / 2 > pairs * F.col("n")).alias("large"))
+        members = cut(members.join(sorted_side(held), "bucket"))
+        if members.isEmpty():
+            return labels
+        few, many = members.where("not large"), members.where("large")
+        other = few.select("bucket", F.col("v").alias("b"), F.col("comp").alias("comp_b"), F.col("m").alias("mb"))
+        drawn = few.select("bucket", F.col("v").alias("a"), "comp", F.col("m").alias("ma")).join(sorted_side(other), "bucket").where("a < b and comp <> comp_b").select("a", "b", "ma", "mb")
+        leaders = cut(many.groupBy("bucket", F.pmod(F.xxhash64("v"), F.lit(seats)).alias("seat")).agg(F.max(F.struct("deg", "v", "comp", "m")).alias("top")))
+        met = many.join(sorted_side(leaders), "bucket").where("v <> top.v and comp <> top.comp")
+        first = F.col("v") < F.col("top.v")
+        led = met.select(F.least("v", "top.v").alias("a"), F.greatest("v", "top.v").alias("b"), F.when(first, F.col("m")).otherwise(F.col("top.m")).alias("ma"), F.when(first, F.col("top.m")).otherwise(F.col("m")).alias("mb"))
+        new = verify(drawn.unionByName(led).distinct()).select("a", "b").distinct()
+        old = labels
+        for end in ("a", "b"):
+            new = new.join(sorted_side(old.select(F.col("v").alias(end), F.col("comp").alias(f"comp_{end}"))), end)
+        joined = components(new.select("comp_a", "comp_b"), "comp_a", "comp_b")
+        joined = joined.select(F.col("vertex").alias("comp"), "label")
+        labels = cut(labels.join(sorted_side(joined), "comp", "left").select("v", F.coalesce("label", "comp").alias("comp")))
+        if leaders.isEmpty():
+            return labels
+        left = many.drop("large").join(sorted_side(leaders.select("bucket", F.col("top.v").alias("v"))), ["bucket", "v"], "left_anti")
+        members = cut(left.join(sorted_side(joined), "comp", "left").withColumn("comp", F.coalesce("label", "comp")).select("bucket", "v", "deg", "m", "comp"))
+        seats, pairs = seats * GROWTH, pairs * growth
