@@ -17,13 +17,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import WordHashes, bounded, cut, join_counted, shingles, word_hashes
-from .graph import components
+from .common import WordHashes, bounded, cut, join_counted, shingles, sorted_side, word_hashes
 from .rounds import link
 
 HASHES, BATCH, BAND = 128, 32, 5
 BANDS = HASHES // BAND
 MISS = 1e-6
+#: Members of a bucket beyond which sharing its band is not enough: there, one of the BESIDE bands after it must be shared too.
+#: At a similarity of 0.8 some shared band has such a neighbour but for less than one pair in 1e5.
+HEAVY, BESIDE = 64, 6
+#: Pairs to a member of a bucket that are drawn in the first round, and their growth: most are connected by then.
+FIRST_PAIRS, GROWTH = 4, 4
 _CHUNK = 1024
 
 
@@ -140,34 +144,39 @@ def decisions(docs: DataFrame, text: str = "text", ident: str = "doc_id", width:
     classes = usable.groupBy("set_key").agg(F.min("__id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("sig").alias("sig"))
     fewest = math.ceil(percent / (100 - percent)) if percent < 100 else None  # smaller sets link with nothing but equals
     classes = cut(classes)
-    links = None
+    labels = None
     if fewest is not None:
         bands = F.array(*[F.xxhash64(F.substring("sig", 2 * BAND * k + 1, 2 * BAND), F.lit(k)) for k in range(BANDS)])
-        banded = classes.where(F.col("n") >= fewest).select(F.col("set_key").alias("v"), "n", F.explode(bands).alias("bucket"))
+        banded = classes.where(F.col("n") >= fewest).select(F.col("set_key").alias("v"), "n", F.posexplode(bands).alias("band", "bucket"))
         shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-        members = cut(banded.join(shared, "bucket"))
-        busy = cut(members.groupBy("v").agg(F.sum("held").alias("deg")))
-        members = members.join(busy, "v").select("bucket", "v", "deg", F.struct("n").alias("m"))
-        signs = cut(classes.join(busy.select(F.col("v").alias("set_key")), "set_key", "left_semi").select("set_key", "sig", "rep"))
+        members = cut(banded.join(sorted_side(shared), "bucket"))
+        mine = cut(members.groupBy("v").agg(F.first("n").alias("n"), F.sum("held").alias("deg"), F.collect_set(F.struct("band", "bucket", "held")).alias("all")))  # at most BANDS each
+        light = members.where(F.col("held") <= HEAVY).select("bucket", "v")
+        next_ones = F.filter("all", lambda j: F.pmod(j["band"] - F.col("i.band"), F.lit(BANDS)).between(1, BESIDE))
+        twice = mine.where(F.exists("all", lambda i: i["held"] > HEAVY)).select("v", "all", F.explode(F.filter("all", lambda i: i["held"] > HEAVY)).alias("i")).select("v", "i", F.explode(next_ones).alias("j"))
+        twice = cut(twice.select(F.xxhash64("i.bucket", "j.bucket").alias("bucket"), "v").distinct())
+        again = twice.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket")
+        busy = mine.select("v", "n", "deg")
+        members = light.unionByName(twice.join(sorted_side(again), "bucket")).join(sorted_side(busy), "v").select("bucket", "v", "deg", F.struct("n").alias("m"))
+        signs = cut(classes.join(sorted_side(busy.select(F.col("v").alias("set_key"))), "set_key", "left_semi").select("set_key", "sig", "rep"))
 
         def verify(tried: DataFrame) -> DataFrame:
             near = tried.where(100 * F.least("ma.n", "mb.n") >= percent * F.greatest("ma.n", "mb.n")).select("a", "b")
-            near = near.join(signs.select(F.col("set_key").alias("b"), F.col("sig").alias("sig_b")), "b").join(signs.select(F.col("set_key").alias("a"), F.col("sig").alias("sig_a")), "a")
+            near = near.join(sorted_side(signs.select(F.col("set_key").alias("b"), F.col("sig").alias("sig_b"))), "b").join(sorted_side(signs.select(F.col("set_key").alias("a"), F.col("sig").alias("sig_a"))), "a")
             left = cut(plausible(near, threshold, miss))
             ends = left.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-            reps = cut(signs.join(ends, "set_key", "left_semi").select(F.col("rep").alias(ident)).distinct())
+            reps = cut(signs.join(sorted_side(ends), "set_key", "left_semi").select(F.col("rep").alias(ident)).distinct())
             sets = cut(full_sets(docs.select(ident, text).join(bounded(reps, reps.count()), ident, "left_semi"), text, width))
-            both = left.join(sets.select(F.col("set_key").alias("b"), F.col("members").alias("mb")), "b").join(sets.select(F.col("set_key").alias("a"), F.col("members").alias("ma")), "a")
+            both = left.join(sorted_side(sets.select(F.col("set_key").alias("b"), F.col("members").alias("mb"))), "b").join(sorted_side(sets.select(F.col("set_key").alias("a"), F.col("members").alias("ma"))), "a")
             common = F.size(F.array_intersect("ma", "mb"))
             return both.select("a", "b", common.alias("i"), (F.size("ma") + F.size("mb") - common).alias("u")).where(100 * F.col("i") >= percent * F.col("u"))
 
-        links = link(members, verify)
+        labels = link(members, verify, FIRST_PAIRS, GROWTH)
     named = classes.select("set_key", "rep", "size")
-    if links is None:
+    if labels is None:
         named = named.withColumn("component_id", F.col("rep"))
     else:
-        labels = components(links)
-        named = cut(named.join(labels.select(F.col("vertex").alias("set_key"), "label"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key")))
+        named = cut(named.join(sorted_side(labels.select(F.col("v").alias("set_key"), F.col("comp").alias("label"))), "set_key", "left").withColumn("label", F.coalesce("label", "set_key")))
         least = named.groupBy("label").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("held"))
         named = join_counted(named, least, "label", "held", total).select("set_key", "rep", "size", "component_id")
     told = join_counted(usable.select("__id", "n", "set_key"), named, "set_key", "size", total)
