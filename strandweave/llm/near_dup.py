@@ -24,7 +24,7 @@ HASHES, BATCH, BAND = 128, 32, 5
 BANDS = HASHES // BAND
 MISS = 1e-6
 #: Members of a bucket beyond which sharing its band is not enough: there, one of the BESIDE bands after it must be shared too.
-#: At a similarity of 0.8 some shared band has such a neighbour but for less than one pair in 1e5.
+#: Where all of a pair's buckets are that large, it is missed with probability 8e-5 at a similarity of 0.85, and 3e-3 at 0.8.
 HEAVY, BESIDE = 64, 6
 #: Pairs to a member of a bucket that are drawn in the first round, and their growth: most are connected by then.
 FIRST_PAIRS, GROWTH = 4, 4
