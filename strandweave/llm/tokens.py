@@ -16,7 +16,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Remembered words of one worker: this many new ones, and as many of before that have been met again or not yet forgotten.
-MOST_WORDS = 700_000
+MOST_WORDS = 300_000
 
 
 class Memory(dict):
