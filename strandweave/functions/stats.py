@@ -8,15 +8,29 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+#: Terms of a tail that are summed at once.
+_TERMS = 4096
+
 
 def _below(k: int, mean: float) -> float:
-    """P(Poisson(mean) <= k), summed in logs."""
-    if mean <= 0:
-        return 1.0
-    at = np.arange(max(0, k - 2000), k + 1)
-    logs = at * math.log(mean) - mean - np.array([math.lgamma(x + 1) for x in at])
-    top = logs.max()
-    return float(min(1.0, math.exp(top) * np.exp(logs - top).sum()))
+    """P(Poisson(mean) <= k), by the tail on the far side of k from the mean: what is left out is under 1e-17 of it."""
+    if k < 0 or mean <= 0:
+        return 0.0 if k < 0 else 1.0
+    down = mean > k
+    at = k if down else k + 1
+    term = total = 1.0
+    while at > 0 and term > 0:
+        steps = np.arange(_TERMS, dtype=float)
+        ratios = np.maximum(at - steps, 0) / mean if down else mean / (at + 1 + steps)
+        terms = term * np.cumprod(ratios)
+        total, term = total + float(terms.sum()), float(terms[-1])
+        at += -_TERMS if down else _TERMS
+        ratio = float(ratios[-1])  # of all further terms at most
+        if term * ratio <= 1e-17 * total * (1 - ratio):
+            break
+    first = k if down else k + 1
+    tail = min(1.0, math.exp(first * math.log(mean) - mean - math.lgamma(first + 1) + math.log(total)))
+    return tail if down else 1.0 - tail
 
 
 def poisson_limits(k: int, level: float = 0.95) -> tuple[float, float]:
@@ -25,6 +39,8 @@ def poisson_limits(k: int, level: float = 0.95) -> tuple[float, float]:
 
     def solve(events: int, target: float) -> float:
         low, high = 0.0, events + 20 + 10 * math.sqrt(events + 1)
+        while _below(events, high) > target:
+            low, high = high, 2 * high
         for _ in range(200):
             mid = (low + high) / 2
             low, high = (mid, high) if _below(events, mid) > target else (low, mid)

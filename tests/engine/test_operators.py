@@ -28,6 +28,18 @@ def test_poisson_limits(k, low, high):
     assert stats.poisson_limits(k) == pytest.approx((low, high), abs=2e-6)
 
 
+def chi_square_quantile(n, z):
+    """Cornish-Fisher expansion; the first term left out is of order n ** -2."""
+    return n + 2**0.5 * z * n**0.5 + 2 * (z**2 - 1) / 3 + (z**3 - 7 * z) / (9 * 2**0.5 * n**0.5) - (6 * z**4 + 14 * z**2 - 32) / (405 * n) + (9 * z**5 + 256 * z**3 - 433 * z) / (4860 * 2**0.5 * n**1.5)
+
+
+@pytest.mark.parametrize("k", [4_500, 5_000, 100_000, 10_000_000])
+def test_poisson_limits_of_many_events(k):
+    z = 1.959963984540054
+    want = chi_square_quantile(2 * k, -z) / 2, chi_square_quantile(2 * k + 2, z) / 2
+    assert stats.poisson_limits(k) == pytest.approx(want, rel=1e-9)
+
+
 def spans(spark, rows):
     return spark.createDataFrame(rows, "contig string, start long, end long")
 
