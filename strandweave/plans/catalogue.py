@@ -154,6 +154,32 @@ def mask_anti_join(spark, sf_dir):
     return intervals.unmasked(spans.select("l_suppkey", "l_partkey", F.col("start").alias("pos")), mask, ["l_suppkey"], bin_width=64)
 
 
+def _short_spans(spark, sf_dir):
+    """Spans of one to three days, so that those of all rows of a supplier don't tile."""
+    return _spans(spark, sf_dir).withColumn("stop", F.col("end")).withColumn("end", F.col("start") + 1 + F.floor((F.col("stop") - F.col("start")) / 25))
+
+
+_SHORT = f"short AS (SELECT l_suppkey, l_partkey, s, s + 1 + (e - s) // 25 AS e, e AS stop FROM ({_SPANS.removeprefix('spans AS (')})"
+
+
+@query(f"""
+    WITH {_SHORT}, {_ISLANDS.format(source="short")}
+    SELECT l_suppkey, "start", "end" FROM merged""")
+def merge_intervals_whole(spark, sf_dir):
+    """Overlapping and book-ended intervals made one, by supplier, of all rows."""
+    return intervals.merge(_short_spans(spark, sf_dir), ["l_suppkey"])
+
+
+@query(f"""
+    WITH {_SHORT}, {_ISLANDS.format(source="short")}
+    SELECT l_suppkey, l_partkey, stop AS pos FROM short p
+    WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.l_suppkey = p.l_suppkey AND p.stop >= m."start" AND p.stop < m."end")""")
+def mask_anti_join_whole(spark, sf_dir):
+    """Positions of all rows outside the merged mask of all rows."""
+    spans = _short_spans(spark, sf_dir)
+    return intervals.unmasked(spans.select("l_suppkey", "l_partkey", F.col("stop").alias("pos")), intervals.merge(spans, ["l_suppkey"]), ["l_suppkey"], bin_width=64)
+
+
 @query("""
     SELECT event_id, coalesce((SELECT count(*) FROM events e WHERE e.event_type = 'error' AND e.user_id = v.user_id AND abs(epoch_us(e.ts) - epoch_us(v.ts)) <= 3600000000), 0)
            - CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS n_near FROM events v""")
