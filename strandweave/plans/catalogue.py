@@ -429,7 +429,7 @@ def bootstrap_attribution(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", F.posexplode("embedding").alias("ord", "x"))
     signatures = rows.groupBy(F.col("label").cast("string").alias("signature"), "ord").agg(F.avg(F.abs("x")).alias("weight"))
     spectra = rows.groupBy((F.col("label") % 3).cast("string").alias("sample"), "ord").agg(F.sum(F.abs("x")).alias("value"))
-    return attribution.intervals(attribution.fit(spectra, signatures, 50))
+    return attribution.intervals(attribution.fit(spectra, signatures))
 
 
 @query("SELECT l_returnflag AS sample, l_linestatus AS base, count(*) AS n, count(*) OVER (PARTITION BY l_returnflag) AS kinds FROM lineitem GROUP BY 1, 2")

@@ -27,6 +27,12 @@ def test_whole_intervals_take_every_row(spark):
     assert rows / 10 < QUERIES["mask_anti_join_whole"](spark, SF).count() < 0.9 * rows
 
 
+def test_bootstrap_draws_the_operators_thousand_replicates(spark, monkeypatch):
+    monkeypatch.setattr("strandweave.operators.attribution.intervals", lambda fitted: fitted)
+    drawn = {r.replicate for r in QUERIES["bootstrap_attribution"](spark, SF).select("replicate").distinct().collect()}
+    assert drawn == set(range(1001))
+
+
 def test_entry(spark):
     import __spark_entry__
 
