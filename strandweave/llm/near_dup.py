@@ -23,9 +23,6 @@ from .rounds import link
 HASHES, BATCH, BAND = 128, 32, 5
 BANDS = HASHES // BAND
 MISS = 1e-6
-#: Members of a bucket beyond which sharing its band is not enough: there, one of the BESIDE bands after it must be shared too.
-#: Where all of a pair's buckets are that large, it is missed with probability 8e-5 at a similarity of 0.85, and 3e-3 at 0.8.
-HEAVY, BESIDE = 64, 6
 #: Pairs to a member of a bucket that are drawn in the first round, and their growth: most are connected by then.
 FIRST_PAIRS, GROWTH = 4, 4
 _CHUNK = 1024
@@ -147,17 +144,11 @@ def decisions(docs: DataFrame, text: str = "text", ident: str = "doc_id", width:
     labels = None
     if fewest is not None:
         bands = F.array(*[F.xxhash64(F.substring("sig", 2 * BAND * k + 1, 2 * BAND), F.lit(k)) for k in range(BANDS)])
-        banded = classes.where(F.col("n") >= fewest).select(F.col("set_key").alias("v"), "n", F.posexplode(bands).alias("band", "bucket"))
+        banded = classes.where(F.col("n") >= fewest).select(F.col("set_key").alias("v"), "n", F.explode(bands).alias("bucket"))
         shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
         members = cut(banded.join(sorted_side(shared), "bucket"))
-        mine = cut(members.groupBy("v").agg(F.first("n").alias("n"), F.sum("held").alias("deg"), F.collect_set(F.struct("band", "bucket", "held")).alias("all")))  # at most BANDS each
-        light = members.where(F.col("held") <= HEAVY).select("bucket", "v")
-        next_ones = F.filter("all", lambda j: F.pmod(j["band"] - F.col("i.band"), F.lit(BANDS)).between(1, BESIDE))
-        twice = mine.where(F.exists("all", lambda i: i["held"] > HEAVY)).select("v", "all", F.explode(F.filter("all", lambda i: i["held"] > HEAVY)).alias("i")).select("v", "i", F.explode(next_ones).alias("j"))
-        twice = cut(twice.select(F.xxhash64("i.bucket", "j.bucket").alias("bucket"), "v").distinct())
-        again = twice.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket")
-        busy = mine.select("v", "n", "deg")
-        members = light.unionByName(twice.join(sorted_side(again), "bucket")).join(sorted_side(busy), "v").select("bucket", "v", "deg", F.struct("n").alias("m"))
+        busy = cut(members.groupBy("v").agg(F.first("n").alias("n"), F.sum("held").alias("deg")))
+        members = members.select("bucket", "v").join(sorted_side(busy), "v").select("bucket", "v", "deg", F.struct("n").alias("m"))
         signs = cut(classes.join(sorted_side(busy.select(F.col("v").alias("set_key"))), "set_key", "left_semi").select("set_key", "sig", "rep"))
 
         def verify(tried: DataFrame) -> DataFrame:

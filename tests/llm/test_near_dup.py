@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +21,31 @@ def test_agrees_with_all_pairs(spark, width, percent, seed):
     assert told(got) == brute_components(rows, width, percent)
 
 
+def test_a_pair_is_found_in_a_large_bucket(spark):
+    """Two texts that share one band only, whose bucket holds a hundred others that are like nothing."""
+    rng, hasher = random.Random(4), near_dup.MinHasher()
+    sets = lambda words: near_dup.shingles(near_dup.word_hashes(" ".join(words), near_dup.WordHashes()), 5)
+    sign = lambda words: np.frombuffer(hasher.sign(np.unique(sets(words))), "<u2")
+    word = lambda: f"w{rng.randrange(10**9)}"
+    while True:
+        one = [word() for _ in range(50)]
+        two = [*one[:25], word(), *one[26:]]
+        same = (sign(one) == sign(two))[: near_dup.BANDS * near_dup.BAND].reshape(-1, near_dup.BAND).all(axis=1)
+        if same.sum() == 1:
+            break
+    band = slice(near_dup.BAND * int(same.argmax()), near_dup.BAND * int(same.argmax()) + near_dup.BAND)
+    least = sorted({int(np.flatnonzero(np.array([sign(one[k : k + 5])[h] for k in range(46)]) == sign(one)[h])[0]) for h in range(band.start, band.stop)})
+    others = []
+    while len(others) < 100:
+        text = [w for k in rng.sample(least, len(least)) for w in [*one[k : k + 5], word()]]
+        if (sign(text)[band] == sign(one)[band]).all():
+            others.append(text)
+    rows = [(k, " ".join(text)) for k, text in enumerate([one, two, *others])]
+    small = told(near_dup.decisions(docs(spark, rows[:2]), width=5, percent=80))
+    large = told(near_dup.decisions(docs(spark, rows), width=5, percent=80))
+    assert small[1] == (46, 0) and large == brute_components(rows, 5, 80) and large[1] == small[1]
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One"), (5, "one"), (6, "a b"), (7, "a b"), (7, "a b"), (None, "a b"), (8, "É x y z"), (9, "é x y z"), (10, "w " * 30_000)]
     got = near_dup.decisions(docs(spark, rows), width=3, percent=85).collect()
