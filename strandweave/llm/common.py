@@ -57,7 +57,7 @@ def join_counted(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, kept between the batches of one task up to a bound."""
 
-    MOST = 400_000
+    MOST = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:

@@ -5,7 +5,10 @@ the buckets of banded MinHash signatures; a candidate's signatures are then
 compared batch by batch, and it goes as soon as the posterior probability
 that its similarity reaches the threshold falls under the chosen miss
 probability (uniform prior: a beta posterior). Survivors are confirmed on
-their full sets. `rounds.link` keeps the candidates of a hot group linear.
+their full sets. `rounds.link` compares the members of a large bucket with its
+best connected one. Of what is still apart there, those pairs are drawn that share
+one of their rarest shingles (`rarest_first`): a bound that no link can fail,
+so nothing is lost, whatever a bucket's size.
 """
 
 from __future__ import annotations
@@ -18,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .common import WordHashes, bounded, cut, join_counted, shingles, sorted_side, word_hashes
-from .rounds import link
+from .rounds import apart, link
 
 HASHES, BATCH, BAND = 128, 32, 5
 BANDS = HASHES // BAND
 MISS = 1e-6
-#: Pairs to a member of a bucket that are drawn in the first round, and their growth: most are connected by then.
-FIRST_PAIRS, GROWTH = 4, 4
+#: Rounds in which the best connected member of a large bucket is compared with all others.
+LED = 2
 _CHUNK = 1024
 
 
@@ -123,6 +126,72 @@ def plausible(pairs: DataFrame, threshold: float, miss: float = MISS) -> DataFra
     return pairs.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a binary, b binary")
 
 
+def rarest_first(sets: DataFrame, percent: int) -> DataFrame:
+    """token, set_key, n, at: of each set the tokens of which a partner must share one, rarest first.
+
+    Two sets with 100 * |A & B| >= percent * |A | B| share at least
+    percent * (|A| + |B|) / (100 + percent) members. Under any order that
+    holds for all sets, the first member that they share has at most
+    |A| less that many before it in A, and likewise in B. The order is by
+    how many of `sets` hold a token: what a copy has changed is rare, so
+    copies that have changed too much share none of these. Tokens of one
+    set only come first of all, and are left out.
+    """
+    rows = sets.select("set_key", F.size("members").alias("n"), F.explode("members").alias("token"))
+    often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    told = rows.join(sorted_side(often), "token").groupBy("set_key").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("often", "token"))).alias("shared"))
+    alone = F.col("n") - F.size("shared")
+    most = F.floor(F.col("n") - F.ceil(F.col("n") * percent / 100)).cast("int")  # places before the last that counts, against the smallest partner
+    told = told.select("set_key", "n", alone.alias("alone"), "shared", most.alias("most")).where("alone <= most")
+    return told.select("set_key", "n", "alone", F.posexplode(F.slice("shared", F.lit(1), F.col("most") - F.col("alone") + 1)).alias("p", "t")).select("t.token", "set_key", "n", (F.col("alone") + F.col("p")).alias("at"))
+
+
+def may_link(percent: int):
+    """Whether the members (n; with `at`: sharing a token at that place) allow a similarity of percent %."""
+
+    def sizes(a: str, b: str):
+        return 100 * F.least(F.col(f"{a}.n"), F.col(f"{b}.n")) >= percent * F.greatest(F.col(f"{a}.n"), F.col(f"{b}.n"))
+
+    def places(a: str, b: str):
+        shared = F.ceil(percent * (F.col(f"{a}.n") + F.col(f"{b}.n")) / (100 + percent))
+        return sizes(a, b) & (F.col(f"{a}.at") + shared <= F.col(f"{a}.n")) & (F.col(f"{b}.at") + shared <= F.col(f"{b}.n"))
+
+    return sizes, places
+
+
+def linked_classes(docs: DataFrame, classes: DataFrame, text: str, ident: str, width: int, percent: int, miss: float) -> DataFrame:
+    """v, comp of every class that shares a band with another: comp is the least class that it reaches by links."""
+    fewest = math.ceil(percent / (100 - percent))  # smaller sets link with nothing but equals
+    bands = F.array(*[F.xxhash64(F.substring("sig", 2 * BAND * k + 1, 2 * BAND), F.lit(k)) for k in range(BANDS)])
+    banded = classes.where(F.col("n") >= fewest).select(F.col("set_key").alias("v"), "n", F.explode(bands).alias("bucket"))
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    members = cut(banded.join(sorted_side(shared), "bucket"))
+    busy = cut(members.groupBy("v").agg(F.sum("held").alias("deg")))
+    members = members.select("bucket", "v", "n").join(sorted_side(busy), "v").select("bucket", "v", "deg", F.struct("n").alias("m"))
+    signs = cut(classes.join(sorted_side(busy.select(F.col("v").alias("set_key"))), "set_key", "left_semi").select("set_key", "sig", "rep"))
+    reps = cut(signs.select(F.col("rep").alias(ident)).distinct())
+    sets = cut(full_sets(docs.select(ident, text).join(bounded(reps, reps.count()), ident, "left_semi"), text, width))
+    threshold = percent / 100
+
+    def verify(tried: DataFrame) -> DataFrame:
+        near = tried.join(sorted_side(signs.select(F.col("set_key").alias("b"), F.col("sig").alias("sig_b"))), "b").join(sorted_side(signs.select(F.col("set_key").alias("a"), F.col("sig").alias("sig_a"))), "a")
+        left = plausible(near, threshold, miss)
+        both = left.join(sorted_side(sets.select(F.col("set_key").alias("b"), F.col("members").alias("mb"))), "b").join(sorted_side(sets.select(F.col("set_key").alias("a"), F.col("members").alias("ma"))), "a")
+        common = F.size(F.array_intersect("ma", "mb"))
+        return both.select("a", "b", common.alias("i"), (F.size("ma") + F.size("mb") - common).alias("u")).where(100 * F.col("i") >= percent * F.col("u")).select("a", "b")
+
+    sizes, places = may_link(percent)
+    labels = busy.select("v", F.col("v").alias("comp"))
+    labels, rest = link(members, labels, verify, sizes, LED, False)
+    rest = apart(rest, labels)
+    if rest.isEmpty():
+        return labels
+    hot = cut(rest.groupBy("v").agg(F.max("deg").alias("deg")))
+    tokens = rarest_first(sets.join(sorted_side(hot.select(F.col("v").alias("set_key"))), "set_key", "left_semi"), percent)
+    members = tokens.select(F.col("token").alias("bucket"), F.col("set_key").alias("v"), F.struct("n", "at").alias("m")).join(sorted_side(hot), "v")
+    return link(cut(members), labels, verify, places, LED + 1, True)[0]
+
+
 def decisions(docs: DataFrame, text: str = "text", ident: str = "doc_id", width: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
     """One row per row of docs: ident, n_shingles, component_id, kept.
 
@@ -131,42 +200,19 @@ def decisions(docs: DataFrame, text: str = "text", ident: str = "doc_id", width:
     is the least ident reachable, kept says that it is the document's own.
     Texts that are null, empty or without words have n_shingles 0 and link
     with nothing; so do rows with a null ident, whose component_id is null and
-    which are kept. Rows repeated with the same ident get the same answer. An
-    empty table gives an empty one. Other columns of docs are not touched.
+    which are kept. Very long texts are read whole. Rows repeated with the
+    same ident get the same answer. An empty table gives an empty one. Other
+    columns of docs are not touched, whatever their names.
     """
-    threshold = percent / 100
     signed = cut(signatures(docs, text, ident, width))
     total = signed.count()
     usable = signed.where("n > 0 and __id is not null")
-    classes = usable.groupBy("set_key").agg(F.min("__id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-    fewest = math.ceil(percent / (100 - percent)) if percent < 100 else None  # smaller sets link with nothing but equals
-    classes = cut(classes)
-    labels = None
-    if fewest is not None:
-        bands = F.array(*[F.xxhash64(F.substring("sig", 2 * BAND * k + 1, 2 * BAND), F.lit(k)) for k in range(BANDS)])
-        banded = classes.where(F.col("n") >= fewest).select(F.col("set_key").alias("v"), "n", F.explode(bands).alias("bucket"))
-        shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-        members = cut(banded.join(sorted_side(shared), "bucket"))
-        busy = cut(members.groupBy("v").agg(F.first("n").alias("n"), F.sum("held").alias("deg")))
-        members = members.select("bucket", "v").join(sorted_side(busy), "v").select("bucket", "v", "deg", F.struct("n").alias("m"))
-        signs = cut(classes.join(sorted_side(busy.select(F.col("v").alias("set_key"))), "set_key", "left_semi").select("set_key", "sig", "rep"))
-
-        def verify(tried: DataFrame) -> DataFrame:
-            near = tried.where(100 * F.least("ma.n", "mb.n") >= percent * F.greatest("ma.n", "mb.n")).select("a", "b")
-            near = near.join(sorted_side(signs.select(F.col("set_key").alias("b"), F.col("sig").alias("sig_b"))), "b").join(sorted_side(signs.select(F.col("set_key").alias("a"), F.col("sig").alias("sig_a"))), "a")
-            left = cut(plausible(near, threshold, miss))
-            ends = left.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-            reps = cut(signs.join(sorted_side(ends), "set_key", "left_semi").select(F.col("rep").alias(ident)).distinct())
-            sets = cut(full_sets(docs.select(ident, text).join(bounded(reps, reps.count()), ident, "left_semi"), text, width))
-            both = left.join(sorted_side(sets.select(F.col("set_key").alias("b"), F.col("members").alias("mb"))), "b").join(sorted_side(sets.select(F.col("set_key").alias("a"), F.col("members").alias("ma"))), "a")
-            common = F.size(F.array_intersect("ma", "mb"))
-            return both.select("a", "b", common.alias("i"), (F.size("ma") + F.size("mb") - common).alias("u")).where(100 * F.col("i") >= percent * F.col("u"))
-
-        labels = link(members, verify, FIRST_PAIRS, GROWTH)
+    classes = cut(usable.groupBy("set_key").agg(F.min("__id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("sig").alias("sig")))
     named = classes.select("set_key", "rep", "size")
-    if labels is None:
+    if percent >= 100:
         named = named.withColumn("component_id", F.col("rep"))
     else:
+        labels = linked_classes(docs, classes, text, ident, width, percent, miss)
         named = cut(named.join(sorted_side(labels.select(F.col("v").alias("set_key"), F.col("comp").alias("label"))), "set_key", "left").withColumn("label", F.coalesce("label", "set_key")))
         least = named.groupBy("label").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("held"))
         named = join_counted(named, least, "label", "held", total).select("set_key", "rep", "size", "component_id")

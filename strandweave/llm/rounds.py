@@ -1,66 +1,83 @@
 """Linking the members of buckets without drawing all pairs of a large one.
 
 A bucket (a band of a signature, a shared anchor) names members that may
-be alike. In a round, a bucket whose pairs between different components are
-few for its size has them all drawn, and is done. Any other bucket picks
-leaders, the best connected of its members, which are compared with all
-members of other components; then the leaders have met everybody in that
-bucket and leave it. Where they found little, the next round has more of
-them, so that rounds stay few. What joins a component needs no further comparison
-inside it, so a group of copies costs a few comparisons a member. Rounds
-go on until no bucket holds two components: no pair of a bucket goes
-undecided, so the components are those of all pairs.
+be alike. In a round, a small bucket has all pairs between its components
+drawn. A larger one has its best connected member compared with all others,
+so a group of copies costs one comparison a member. What joins a component needs
+no comparison inside it any more, and buckets with one component are done.
+What is still apart after a few such rounds is handed back, or drawn whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import cut, sorted_side
 from .graph import components
 
-#: A bucket's pairs are all drawn when they are at most this many to a member.
-PAIRS_PER_MEMBER = 32
-#: Leaders of a larger bucket in the first round, and how many times more there are in each further one.
-LEADERS, GROWTH = 1, 8
+#: A bucket of at most so many members has its pairs drawn at once: 4 to a member.
+SMALL = 9
 
 
-def link(members: DataFrame, verify: Callable[[DataFrame], DataFrame], pairs: int = PAIRS_PER_MEMBER, growth: int = 1) -> DataFrame:
-    """v, comp: every member's vertex and the least vertex that it reaches by links.
+def link(members: DataFrame, labels: DataFrame, verify: Callable[[DataFrame], DataFrame], may: Callable[[str, str], Column], rounds: int, whole: bool) -> tuple[DataFrame, DataFrame]:
+    """(labels, rest) after some rounds of comparisons.
 
-    members: bucket, v (a vertex), deg (how connected it is), m (a struct of
-    what verify needs). verify gets candidates (a, b, ma, mb), each once
-    up to repeats of their structs, and returns those that are linked.
-    pairs: how many to a member are drawn at once, `growth` times as many in
-    each further round.
+    members: bucket, v (a vertex), deg (how connected it is), m (a struct).
+    labels: v and comp, the least vertex that it is known to reach; every
+    vertex of members has a row. may(ma, mb) says whether two members'
+    structs allow a link. verify gets distinct candidates a, b (a < b) and
+    returns the linked pairs of vertices a, b. rest: the members of buckets
+    that still hold several components and were larger than SMALL. With
+    `whole` the last round draws their pairs instead, and rest is empty.
     """
-    members = cut(members.withColumn("comp", F.col("v")))
-    labels = members.select("v", "comp").distinct()
-    seats = LEADERS
-    while True:
-        held = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        held = held.select("bucket", ((F.col("n") * F.col("n") - F.col("own")) / 2 > pairs * F.col("n")).alias("large"))
-        members = cut(members.join(sorted_side(held), "bucket"))
-        if members.isEmpty():
-            return labels
-        few, many = members.where("not large"), members.where("large")
-        other = few.select("bucket", F.col("v").alias("b"), F.col("comp").alias("comp_b"), F.col("m").alias("mb"))
-        drawn = few.select("bucket", F.col("v").alias("a"), "comp", F.col("m").alias("ma")).join(sorted_side(other), "bucket").where("a < b and comp <> comp_b").select("a", "b", "ma", "mb")
-        leaders = cut(many.groupBy("bucket", F.pmod(F.xxhash64("v"), F.lit(seats)).alias("seat")).agg(F.max(F.struct("deg", "v", "comp", "m")).alias("top")))
-        met = many.join(sorted_side(leaders), "bucket").where("v <> top.v and comp <> top.comp")
-        first = F.col("v") < F.col("top.v")
-        led = met.select(F.least("v", "top.v").alias("a"), F.greatest("v", "top.v").alias("b"), F.when(first, F.col("m")).otherwise(F.col("top.m")).alias("ma"), F.when(first, F.col("top.m")).otherwise(F.col("m")).alias("mb"))
-        new = verify(drawn.unionByName(led).distinct()).select("a", "b").distinct()
-        old = labels
-        for end in ("a", "b"):
-            new = new.join(sorted_side(old.select(F.col("v").alias(end), F.col("comp").alias(f"comp_{end}"))), end)
-        joined = components(new.select("comp_a", "comp_b"), "comp_a", "comp_b")
-        joined = joined.select(F.col("vertex").alias("comp"), "label")
-        labels = cut(labels.join(sorted_side(joined), "comp", "left").select("v", F.coalesce("label", "comp").alias("comp")))
-        if leaders.isEmpty():
-            return labels
-        left = many.drop("large").join(sorted_side(leaders.select("bucket", F.col("top.v").alias("v"))), ["bucket", "v"], "left_anti")
-        members = cut(left.join(sorted_side(joined), "comp", "left").withColumn("comp", F.coalesce("label", "comp")).select("bucket", "v", "deg", "m", "comp"))
-        seats, pairs = seats * GROWTH, pairs * growth
+    rest = members
+    for k in range(rounds):
+        rest = _apart(rest, labels)
+        if rest.isEmpty():
+            break
+        last = whole and k == rounds - 1
+        new = cut(_tried(rest, may, last))
+        linked = verify(new).select("a", "b").distinct()
+        labels = _joined(labels, linked)
+        rest = rest.limit(0) if last else rest.where(F.col("held") > SMALL)
+        rest = rest.select("bucket", "v", "deg", "m")
+        if last:
+            break
+    return labels, rest
+
+
+def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of buckets that hold several components: bucket, v, deg, m, comp, held."""
+    return _apart(members, labels)
+
+
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    told = members.select("bucket", "v", "deg", "m").join(sorted_side(labels), "v")
+    mixed = told.groupBy("bucket").agg(F.count(F.lit(1)).alias("held"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return cut(told.join(sorted_side(mixed.where("low <> high").select("bucket", "held")), "bucket"))
+
+
+def _tried(members: DataFrame, may: Callable[[str, str], Column], last: bool) -> DataFrame:
+    """a, b: the pairs of a round, each once."""
+    one = members if last else members.where(F.col("held") <= SMALL)
+    ends = one.select("bucket", F.col("v").alias("a"), F.col("comp").alias("ca"), F.col("m").alias("ma"))
+    others = one.select("bucket", F.col("v").alias("b"), F.col("comp").alias("cb"), F.col("m").alias("mb"))
+    drawn = ends.join(sorted_side(others), "bucket").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & may("ma", "mb")).select("a", "b")
+    if last:
+        return drawn.distinct()
+    many = members.where(F.col("held") > SMALL)
+    tops = many.groupBy("bucket").agg(F.max(F.struct("deg", "v", "comp", "m")).alias("top"))
+    led = many.join(sorted_side(tops), "bucket").where((F.col("comp") != F.col("top.comp")) & may("m", "top.m"))
+    led = led.select(F.least("v", "top.v").alias("a"), F.greatest("v", "top.v").alias("b"))
+    return drawn.unionByName(led).distinct()
+
+
+def _joined(labels: DataFrame, linked: DataFrame) -> DataFrame:
+    """labels after the links: only the components that they touch are named anew."""
+    ends = cut(linked)
+    for end in ("a", "b"):
+        ends = ends.join(sorted_side(labels.select(F.col("v").alias(end), F.col("comp").alias(f"c{end}"))), end)
+    moved = components(ends.select("ca", "cb"), "ca", "cb").where("vertex <> label").select(F.col("vertex").alias("comp"), "label")
+    return cut(labels.join(sorted_side(moved), "comp", "left").select("v", F.coalesce("label", "comp").alias("comp")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strandweave.llm import near_dup
 from strandweave.llm.graph import components
 
-from .helpers import brute_components, copies, docs
+from .helpers import brute_components, copies, docs, prose
 
 
 def told(df):
@@ -82,3 +82,63 @@ def test_components_of_a_long_chain(spark):
     least = min(name(i) for i in range(301))
     assert len(got) == 303 and all(got[name(i)] == least for i in range(301)) and got["y"] == "x"
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_a_hot_group_around_the_threshold(spark):
+    """600 copies of one text, between 0.75 and 0.97 alike to it: as all pairs say, however large their buckets are."""
+    rng = random.Random(12)
+    base = prose(rng, 150)
+    rows = [(0, " ".join(base))]
+    for k in range(1, 600):
+        text = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 7, 8])):
+            text[rng.randrange(len(text))] = prose(rng, 1)[0] + str(rng.randrange(10**6))
+        rows.append((k * 7 % 600, " ".join(text)) if k * 7 % 600 else (600, " ".join(text)))
+    sets = sorted((i, near_dup.np.unique(near_dup.shingles(near_dup.word_hashes(t, near_dup.WordHashes()), 3))) for i, t in rows)
+    up = {i: i for i, _ in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            both = len(np.intersect1d(a, b, assume_unique=True))
+            if 100 * both >= 85 * (len(a) + len(b) - both):
+                x, y = find(i), find(j)
+                up[max(x, y)] = min(x, y)
+    want = {i: (len(a), find(i)) for i, a in sets}
+    assert 20 < sum(c == i for i, (_, c) in want.items()) < 580
+    assert told(near_dup.decisions(docs(spark, rows), width=3, percent=85)) == want
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_rarest_tokens_are_shared_by_all_links(spark, percent):
+    rng = np.random.default_rng(6)
+    base = rng.integers(1 << 60, size=60)
+    sets = []
+    for _ in range(120):
+        x = base.copy()
+        at = rng.random(60) < rng.choice([0.02, 0.05, 0.1])
+        x[at] = rng.integers(1 << 60, size=int(at.sum()))
+        sets.append(np.unique(x[: rng.integers(50, 61)]))
+    table = spark.createDataFrame([(bytes([k]), [int(v) for v in s]) for k, s in enumerate(sets)], "set_key binary, members array<long>")
+    by = {}
+    for r in near_dup.rarest_first(table, percent).collect():
+        by.setdefault(r.token, []).append((r.set_key[0], r.n, r.at))
+    met = set()
+    for held in by.values():
+        for a, n, at in held:
+            for b, m, to in held:
+                shared = -(-percent * (n + m) // (100 + percent))
+                if a < b and at + shared <= n and to + shared <= m:
+                    met.add((a, b))
+    links = 0
+    for a in range(120):
+        for b in range(a + 1, 120):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                links += 1
+                assert (a, b) in met
+    assert links > 100 and len(met) < 120 * 119 / 2
