@@ -26,8 +26,6 @@ from .rounds import apart, link
 HASHES, BATCH, BAND = 128, 32, 5
 BANDS = HASHES // BAND
 MISS = 1e-6
-#: Rounds in which the best connected member of a large bucket is compared with all others.
-LED = 2
 _CHUNK = 1024
 
 
@@ -182,14 +180,14 @@ def linked_classes(docs: DataFrame, classes: DataFrame, text: str, ident: str, w
 
     sizes, places = may_link(percent)
     labels = busy.select("v", F.col("v").alias("comp"))
-    labels, rest = link(members, labels, verify, sizes, LED, False)
+    labels, rest = link(members, labels, verify, sizes, 1, False)
     rest = apart(rest, labels)
     if rest.isEmpty():
         return labels
     hot = cut(rest.groupBy("v").agg(F.max("deg").alias("deg")))
     tokens = rarest_first(sets.join(sorted_side(hot.select(F.col("v").alias("set_key"))), "set_key", "left_semi"), percent)
     members = tokens.select(F.col("token").alias("bucket"), F.col("set_key").alias("v"), F.struct("n", "at").alias("m")).join(sorted_side(hot), "v")
-    return link(cut(members), labels, verify, places, LED + 1, True)[0]
+    return link(members, labels, verify, places, 1, True)[0]
 
 
 def decisions(docs: DataFrame, text: str = "text", ident: str = "doc_id", width: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
