@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,15 +18,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise df in the cluster's checkpoint folder, so that lost executors don't lose it."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names for checkpoints; unset (in tests), one in the warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise df in the cluster's checkpoint folder, so that lost executors don't lose it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like cut, as a table in columns: for large tables of which later steps read some columns."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded(df: DataFrame, rows: int, most: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if its counted rows are few enough; otherwise as it is, for a shuffled join."""
     return F.broadcast(df) if rows <= most else df
