@@ -1,91 +1,114 @@
 """Stupid-backoff language-model scores of whole documents, from counts over the whole corpus.
 
-The n-gram count tables are partitioned by hash, with as many partitions as
-the corpus needs (`blocks`). Their counts are joined to the n-grams of each
-block of documents, and the scores of all positions are summed per document.
+Documents are exploded into their n-grams. Each length has a count table,
+partitioned by the n-gram's hash; joined to the tables of its context and of its
+shorter n-gram, it becomes a table of scores, one row for each different n-gram.
+The longest n-gram that ends at each word is joined to those, and the scores
+of all words are summed per document.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .blocks import BLOCK_WORDS, PARTITION_KEYS, answered, asked, block_table, key_bits, opened, partitions, unpack
-from .common import cut, mix
+from .common import WordHashes, cut, join_counted, mix, sorted_side, stored, word_hashes
 
 ORDER, BACKOFF, CUTOFF = 3, 0.4, 2
 
 
-def grams(words: np.ndarray, doc: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For n = 1..order: (hashes of the n-grams that end at each word, which words have one)."""
-    out, rolled = [], mix(words)
-    out.append((rolled, np.ones(len(words), bool)))
-    for n in range(2, order + 1):
-        longer = np.zeros_like(rolled)
-        longer[1:] = mix(rolled[:-1] + words[1:] * np.uint64(3))
-        whole = np.zeros(len(words), bool)
-        whole[n - 1 :] = doc[n - 1 :] == doc[: max(0, len(doc) - n + 1)]
-        out.append((longer, whole))
-        rolled = longer
+def grams(words: np.ndarray, order: int) -> list[np.ndarray]:
+    """For n = 1..order: the 64-bit hash of the n-gram that ends at each word from the n-th on."""
+    out, rolled = [], mix(words + np.uint64(1))
+    for n in range(1, order + 1):
+        out.append(rolled)
+        if len(rolled) < 2:
+            rolled = rolled[:0]
+            continue
+        rolled = mix(mix(rolled[:-1]) + words[n:] * np.uint64(3) + np.uint64(n + 1))
     return out
 
 
-def gram_lists(order: int):
-    """What a block asks for: its n-grams of each length."""
-
-    def of(words: np.ndarray, doc: np.ndarray) -> list[np.ndarray]:
-        return [hashes[whole] for hashes, whole in grams(words, doc, order)]
-
-    return of
+def exploded(docs: DataFrame, text: str, ident: str, order: int) -> tuple[DataFrame, DataFrame]:
+    """(rows: __id, key, n_words of every row; n-grams: __id, key, n, gram, shorter, context, longest).
 
-
-def position_scores(counts: list[np.ndarray], whole: list[np.ndarray], total: int, backoff: float, cutoff: int) -> np.ndarray:
-    """log score of each word, from the counts of the n-grams that end there."""
-    logs = [np.log(np.maximum(c, 1).astype(np.float64)) for c in counts]
-    out = logs[0] - np.log(max(1, total))
-    for n in range(2, len(counts) + 1):
-        out = out + np.log(backoff) * (whole[n - 1])  # where there is such context, backing off costs
-        used = whole[n - 1] & (counts[n - 1] >= cutoff)
-        context = np.zeros(len(out))
-        context[1:] = logs[n - 2][:-1]
-        out = np.where(used, logs[n - 1] - context, out)
+    key is a hash of the text, so that rows which share an ident stay apart. shorter is the
+    n-gram without its first word, context without its last; longest: no
+    longer one ends at that word.
+    """
+    narrow = docs.select(F.col(ident).alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
+    keyed = narrow.select("__id", F.xxhash64("__text").alias("key"), "__text")
+    kind = narrow.schema["__id"].dataType
+
+    def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x.as_py().encode("utf-8", "surrogatepass").split()) for x in batch.column(2)], pa.int64())], names=["__id", "key", "n_words"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            for k in range(len(batch)):
+                words = word_hashes(batch.column(2)[k].as_py(), known)
+                by = grams(words, order)
+                for n, own in enumerate(by, 1):
+                    if not len(own):
+                        break
+                    shorter = by[n - 2][1:] if n > 1 else None
+                    context = by[n - 2][:-1] if n > 1 else None
+                    longest = np.ones(len(own), bool) if n == order else np.arange(len(own)) < 1
+                    for at in range(0, len(own), 50_000):
+                        part = slice(at, at + 50_000)
+                        size = len(own[part])
+                        links = [pa.array(x[part].view(np.int64)) if n > 1 else pa.nulls(size, pa.int64()) for x in (shorter, context)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([batch.column(0)[k].as_py()] * size, batch.schema.field(0).type), pa.array(np.full(size, batch.column(1)[k].as_py(), np.int64)), pa.array(np.full(size, n, np.int32)), pa.array(own[part].view(np.int64)), *links, pa.array(longest[part])],
+                            names=["__id", "key", "n", "gram", "shorter", "context", "longest"],
+                        )
+
+    rows = keyed.mapInArrow(lengths, T.StructType().add("__id", kind).add("key", "long").add("n_words", "long"))
+    schema = T.StructType().add("__id", kind).add("key", "long").add("n", "integer").add("gram", "long").add("shorter", "long").add("context", "long").add("longest", "boolean")
+    return rows, keyed.mapInArrow(run, schema)
+
+
+def gram_scores(every: DataFrame, total: int, order: int, backoff: float, cutoff: int) -> DataFrame:
+    """gram, often, score: a row for each different n-gram of any length."""
+    counts = stored(every.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("often"), F.first("shorter").alias("shorter"), F.first("context").alias("context")))
+    table = counts.where("n = 1").select("gram", "often", (F.log(F.col("often").cast("double")) - F.log(F.lit(float(max(1, total))))).alias("score"))
+    tables = [table]
+    for n in range(2, order + 1):
+        own = counts.where(f"n = {n}")
+        below = tables[-1]
+        own = own.join(sorted_side(below.select(F.col("gram").alias("shorter"), F.col("score").alias("score_below"))), "shorter")
+        own = own.join(sorted_side(below.select(F.col("gram").alias("context"), F.col("often").alias("context_often"))), "context")
+        seen = F.log(F.col("often").cast("double")) - F.log(F.col("context_often").cast("double"))
+        tables.append(stored(own.select("gram", "often", F.when(F.col("often") >= cutoff, seen).otherwise(F.lit(float(np.log(backoff))) + F.col("score_below")).alias("score"))))
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
     return out
 
 
-def scores(docs: DataFrame, text: str = "text", ident: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, cutoff: int = CUTOFF, block_words: int = BLOCK_WORDS, partition_keys: int = PARTITION_KEYS) -> DataFrame:
+def scores(docs: DataFrame, text: str = "text", ident: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, cutoff: int = CUTOFF) -> DataFrame:
     """One row per row of docs: ident, n_words, log_score (natural, summed), mean_log_score.
 
     S(w | context) is c(context w) / c(context) if the n-gram was counted at
     least `cutoff` times, else `backoff` times S(w | shorter context); for a
     word alone c(w) / N. Words are [^\\x20\\x09-\\x0D]+ with A-Z lower-cased;
     contexts don't reach over the start of a document. Null and empty texts
-    have 0 words and scores of 0. Repeated rows count as often as they are there.
+    have 0 words and scores of 0. Very long texts are read whole. Repeated rows
+    count as often as they are there, and each has its row. Null idents are
+    idents like others. Other columns of docs are not touched, whatever their
+    names; an empty table gives an empty one.
     """
-    made = cut(block_table(docs, text, ident, block_words))
-    total = made.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
-    bits = key_bits(total)
-    answers = answered(asked(made, gram_lists(order), partitions(total, partition_keys), bits))
-    kind = made.schema["idents"].dataType.elementType
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        (body,), (idents,) = left["body"].to_pylist(), left["idents"].combine_chunks().to_pylist() if left.num_rows else [[]]
-        lengths, words, doc = opened(body)
-        by = {}
-        for n, part, counts in sorted(zip(right["list"].to_pylist(), right["part"].to_pylist(), right["counts"].to_pylist(), strict=True), key=lambda x: x[:2]):
-            by.setdefault(n, []).append(unpack(counts)[0])
-        counts, usable = [], []
-        for n, (hashes, whole) in enumerate(grams(words, doc, order), 1):
-            at = np.zeros(len(words), np.int64)
-            if whole.any():
-                _, place = np.unique(hashes[whole] >> np.uint64(64 - bits), return_inverse=True)
-                at[whole] = np.concatenate(by[n]).astype(np.int64)[place]
-            counts.append(at)
-            usable.append(whole)
-        sums = np.bincount(doc, weights=position_scores(counts, usable, total, backoff, cutoff), minlength=len(lengths)) if len(words) else np.zeros(len(lengths))
-        lengths = lengths.astype(np.int64)
-        return pa.table([pa.array(idents, left.schema.field("idents").type.value_type), pa.array(lengths), pa.array(sums), pa.array(sums / np.maximum(lengths, 1))], names=["__id", "n_words", "log_score", "mean_log_score"])
-
-    schema = T.StructType().add("__id", kind).add("n_words", "long").add("log_score", "double").add("mean_log_score", "double")
-    joined = made.select("block", "idents", "body").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
-    return joined.withColumnRenamed("__id", ident)
+    rows, every = exploded(docs, text, ident, order)
+    rows = cut(rows.groupBy("__id", "key").agg(F.first("n_words").alias("n_words"), F.count(F.lit(1)).alias("copies")))
+    total = rows.agg(F.coalesce(F.sum(F.col("n_words") * F.col("copies")), F.lit(0))).first()[0]
+    table = gram_scores(every, total, order, backoff, cutoff)
+    ends = every.where("longest").select("__id", "key", "gram")
+    sums = join_counted(ends, table, "gram", "often", total).groupBy("__id", "key").agg(F.sum("score").alias("total"))
+    told = rows.alias("r").join(sums.alias("s"), (F.col("r.__id").eqNullSafe(F.col("s.__id"))) & (F.col("r.key") == F.col("s.key")), "left")
+    told = told.select("r.__id", "n_words", (F.coalesce("total", F.lit(0.0)) / F.col("copies")).alias("log_score"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    return told.select(F.col("__id").alias(ident), "n_words", "log_score", (F.col("log_score") / F.greatest(F.lit(1), "n_words")).alias("mean_log_score"))
