@@ -15,8 +15,10 @@ import public_tokenizers
 import regex
 from tokenizers import Tokenizer
 
-#: Remembered words of one worker: this many new ones, and as many of before that have been met again or not yet forgotten.
-MOST_WORDS = 300_000
+#: Bytes that one memory of a worker may take, about: this much new, and as much of before. Longer texts aren't remembered.
+MOST_BYTES, MOST_LETTERS = 20_000_000, 48
+#: What Python needs for an entry beside its letters.
+ENTRY_BYTES = 250
 
 
 class Memory(dict):
@@ -25,18 +27,23 @@ class Memory(dict):
     def __init__(self):
         super().__init__()
         self.before: dict = {}
+        self.taken = 0
 
     def make(self, key: str):
         raise NotImplementedError
 
     def __missing__(self, key: str):
-        if len(self) >= MOST_WORDS:
+        if len(key) > MOST_LETTERS:
+            return self.make(key)
+        if self.taken >= MOST_BYTES:
             self.before = dict(self)
             self.clear()
+            self.taken = 0
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
         self[key] = value
+        self.taken += ENTRY_BYTES + 12 * len(key)
         return value
 
 
