@@ -69,7 +69,7 @@ def decisions(docs: DataFrame, text: str = "text", ident: str = "doc_id", max_fi
     hashes = cut(docs.select(F.col(ident).alias("__id"), F.unhex(fingerprint(F.col(text))).alias("__sha")).withColumn("__uid", F.monotonically_increasing_id()))
     total = hashes.count()
     bits = filter_bits(total, max_filter_bits)
-    probed = possibly_repeated(hashes, "__sha", repeated_filter(hashes, "__sha", bits), bits)
+    probed = possibly_repeated(hashes, "__sha", cut(repeated_filter(hashes, "__sha", bits)), bits)
     unique = probed.where(~F.col("__maybe")).select("__sha", "__id", "__uid", F.struct(F.col("__id"), F.col("__uid")).alias("__keep"), F.lit(1).cast("long").alias("__n"))
     maybe = probed.where("__maybe").drop("__maybe")
     groups = maybe.groupBy("__sha").agg(F.max(F.struct("__id", "__uid")).alias("__keep"), F.count(F.lit(1)).alias("__n"))
@@ -84,7 +84,9 @@ def distinct_rows(docs: DataFrame, text: str = "text", ident: str = "doc_id", ma
 
     Certainly unique rows pass without a shuffle. Of the others, each task
     sends on its best row of each text, so a hot text never meets in full.
-    Rows equal in text and ident: one of them stays.
+    Rows equal in text and ident: one of them stays. Null and empty texts are
+    equal, null idents rank lowest, texts of any length are read whole, an empty
+    table stays empty, and other columns are kept, whatever their names.
     """
     if not docs.columns:
         return docs
@@ -92,7 +94,8 @@ def distinct_rows(docs: DataFrame, text: str = "text", ident: str = "doc_id", ma
     hashes = cut(docs.select(F.unhex(key).alias("__sha")))
     bits = filter_bits(hashes.count(), max_filter_bits)
     pages = cut(repeated_filter(hashes, "__sha", bits))
-    probed = possibly_repeated(docs.withColumn("__sha", F.unhex(key)), "__sha", pages, bits)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    best = probed.where("__maybe").groupBy("__sha").agg(F.max_by(row, F.struct(F.col(ident))).alias("__row")).select("__row.*")
-    return probed.where(~F.col("__maybe")).select(*[f"`{c}`" for c in docs.columns]).unionByName(best)
+    # the row travels as one column, so that none of its names clash
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.struct(F.col(ident)).alias("__id"), F.unhex(key).alias("__sha"))
+    probed = possibly_repeated(packed, "__sha", pages, bits)
+    best = probed.where("__maybe").groupBy("__sha").agg(F.max_by("__row", "__id").alias("__row")).select("__row.*")
+    return probed.where(~F.col("__maybe")).select("__row.*").unionByName(best)

@@ -17,6 +17,8 @@ from .common import bounded, cut
 PART = 16.0
 #: Terms of the distribution that are tabled; beyond, less than 2^-52 is left for a mean of PART.
 TERMS = 80
+#: Sources whose tables (700 bytes each) may be broadcast after they have been counted.
+MOST_SOURCES = 20_000
 
 
 def uniform(ident: Column, seed: int, part: Column) -> Column:
@@ -56,13 +58,13 @@ def counted(docs: DataFrame, ident: str, source: str, size: Column, weights: dic
     sizes = cut(docs.select(F.col(source).cast("string").alias(source), size.cast("long").alias("__size")).groupBy(source).agg(F.sum("__size").alias("__size")))
     table = rates(sizes, source, weights, temperature, epochs)
     table = table.withColumnRenamed(source, "__source")
-    drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col("__parts")),
-        F.lit(0),
-        lambda n, k: n + F.size(F.filter(F.col("__cdf"), lambda c: c <= uniform(F.col(ident), seed, k))),
-    )
-    joined = docs.join(bounded(table, sizes.count()), docs[source].cast("string").eqNullSafe(F.col("__source")))
-    return joined.withColumn("n_copies", drawn).drop("__source", "__parts", "__cdf")
+    # the numbers below each draw's place in the table: drawn once a part, compared with all of it
+    draws = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda k: uniform(F.col("__ident"), seed, k))
+    drawn = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter(F.col("__cdf"), lambda c: c <= u)))
+    # the row travels as one column, so that none of its names clash
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(ident).alias("__ident"), F.col(source).cast("string").alias("__key"))
+    joined = packed.join(bounded(table, sizes.count(), MOST_SOURCES), F.col("__key").eqNullSafe(F.col("__source")))
+    return joined.select("__row", "rate", drawn.alias("n_copies")).select("__row.*", "rate", "n_copies")
 
 
 def mix(
@@ -81,7 +83,8 @@ def mix(
 
     Sizes are characters of the whole texts (null: 0). A null source is a
     source of its own. Sources of no text are not repeated. Rows repeated
-    with the same ident get the same count each. An empty table stays empty.
+    with the same ident get the same count each. Very long texts count whole.
+    An empty table stays empty. Columns of other names are kept, whatever they are.
     """
     clash = {"copy", "n_copies", "rate", "shuffle_key"} & set(docs.columns)
     docs = docs.drop(*clash)

@@ -51,7 +51,20 @@ def test_mixing_rates(spark):
     per = [r.n for r in drawn.where("doc_id >= 3000").collect()]
     assert abs(np.mean(per + [0] * (600 - len(per))) - rate) < 0.5 and abs(np.var(per + [0] * (600 - len(per))) / rate - 1) < 0.3
     assert got.exceptAll(mixing.mix(table.repartition(3), weights={"big": 1.0, "small": 3.0})).isEmpty()
-    assert mixing.mix(docs(spark, [])).count() == 0 and mixing.mix(docs(spark, rows)).where("source is null").count() >= 0
+    assert mixing.mix(docs(spark, [])).count() == 0
+    names = ["__parts", "__source", "__cdf", "__row", "__ident", "__want"]
+    clash = mixing.mix(table.select("*", *[F.col("doc_id").alias(c) for c in names]), weights={"big": 1.0, "small": 3.0})
+    assert clash.select(*got.columns).exceptAll(got).isEmpty() and clash.where("__parts <> doc_id or __row <> doc_id").isEmpty()
+
+
+def test_exact_keeps_clashing_columns(spark):
+    names = ["__sha", "__maybe", "__slot0", "__page0", "__set0", "__row", "__id"]
+    table = docs(spark, [(1, "A b"), (2, "a B"), (3, "c" * 100_000), (4, None), (5, "")]).select("*", *[F.col("doc_id").alias(c) for c in names])
+    kept = exact_dedup.distinct_rows(table)
+    assert kept.columns == table.columns
+    got = kept.collect()
+    assert {r.doc_id for r in got} == {2, 3, 5} and all(r[c] == r.doc_id for r in got for c in names)
+    assert exact_dedup.decisions(table).count() == 5
 
 
 def test_packing(spark):
