@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def strand(name: Column) -> Column:
@@ -16,6 +16,23 @@ def latest(reads: DataFrame, keys: list[str], side: str, order: str) -> DataFram
     return reads.groupBy(*keys, side).agg(F.max_by(row, F.col(order)).alias("__row")).select("__row.*")
 
 
+def in_order(reads: DataFrame, keys: list[str], side: str, order: str, number: str = "mol") -> DataFrame:
+    """The reads that make up a molecule, in order of input, and its number (increasing along the key).
+
+    A read waits for one of the other side; of waiting reads the last counts,
+    and a pair that is made no longer takes part. So in a run of reads that change
+    sides each time, every second one closes a pair with the one before it; a
+    read of the same side as the one before begins a new run.
+    """
+    along = Window.partitionBy(*keys).orderBy(order)
+    before = F.lag(side).over(along)
+    marked = reads.withColumn("__new", F.when(before.isNull() | (before == F.col(side)), 1).otherwise(0)).withColumn("__run", F.sum("__new").over(along))
+    run = Window.partitionBy(*keys, "__run")
+    marked = marked.withColumn("__k", F.row_number().over(run.orderBy(order))).withColumn("__n", F.count(F.lit(1)).over(run))
+    whole = marked.where(F.col("__k") <= F.col("__n") - F.col("__n") % 2)
+    return whole.withColumn(number, F.sum(F.col("__k") % 2).over(along)).drop("__new", "__run", "__k", "__n")
+
+
 def pair(reads: DataFrame, keys: list[str], side: str, first: str, second: str, carry: list[str]) -> DataFrame:
     """keys and, for each carried column c, c_1 and c_2: molecules that have both sides. reads has one row per key and side."""
     one, two = (reads.where(F.col(side) == s).select(*keys, *[F.col(c).alias(f"{c}_{k}") for c in carry]) for k, s in ((1, first), (2, second)))

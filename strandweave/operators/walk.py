@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.dna import round_half_even
 from .band import within
 from .filters import EQ, I, D, M, N, S, X
-from .pairing import latest, pair, strand
+from .pairing import in_order, pair, strand
 
 QUERY_OPS, REFERENCE_OPS, BLOCK_OPS = (M, I, S, EQ, X), (M, D, N, EQ, X), (M, EQ, X)
 
@@ -91,12 +91,13 @@ def duplex_bases(reads: DataFrame, reference: DataFrame, trim: float = 50, indel
     """Bases that both strands of a molecule align to one position, with ref and tri (null at a contig's edges).
 
     reads: sample, contig, zm, qname, input_ord and the alignment columns,
-    already filtered. Of reads of one strand the last in input order counts.
+    already filtered. Reads pair in input order (`pairing.in_order`): a zm
+    may have several molecules, numbered by mol.
     reference: contig, pos, ref, tri.
     """
-    sided = latest(reads.withColumn("strand", strand(F.col("qname"))), ["sample", "contig", "zm"], "strand", "input_ord")
-    bases = aligned_bases(sided, ["sample", "contig", "zm", "strand", "ec"], trim, indel_pad, window)
-    met = pair(bases, ["sample", "contig", "zm", "pos"], "strand", "fwd", "rev", ["base", "bq", "qpos", "bq_mean", "bq_sd", "qlen", "start", "end", "ec"])
+    sided = in_order(reads.withColumn("strand", strand(F.col("qname"))), ["sample", "contig", "zm"], "strand", "input_ord")
+    bases = aligned_bases(sided, ["sample", "contig", "zm", "mol", "strand", "ec"], trim, indel_pad, window)
+    met = pair(bases, ["sample", "contig", "zm", "mol", "pos"], "strand", "fwd", "rev", ["base", "bq", "qpos", "bq_mean", "bq_sd", "qlen", "start", "end", "ec"])
     return met.join(reference.select("contig", "pos", "ref", "tri"), ["contig", "pos"])
 
 
@@ -114,7 +115,7 @@ def classify_duplex(bases: DataFrame, min_bq: int = 93, window: int = 20, z_shar
     agreed = good & ~one & ~two & (F.col("base_1") == F.col("base_2")) & (F.col("ref") != "N")
     kind = F.when(good & (one != two), "m").when(agreed, "x").when(good & one & two & picked, "z")
     marked = bases.withColumn("kind", kind).withColumn("__context", (good & one & two) | agreed)
-    near = within(F.col("kind") == "m", ["sample", "contig", "zm"], F.col("pos"), window)
+    near = within(F.col("kind") == "m", ["sample", "contig", "zm", "mol"], F.col("pos"), window)
     marked = marked.withColumn("__near", near)
     return marked.select(
         *bases.columns,

@@ -71,6 +71,21 @@ def pair_strands(spark, sf_dir):
     return pairing.pair(_sided(spark, sf_dir), ["l_orderkey", "l_linenumber"], "l_linestatus", "F", "O", ["partkey"])
 
 
+@query("""
+    WITH reads AS (SELECT l_partkey, l_orderkey * 10 + l_linenumber AS ord, min(l_linestatus) AS l_linestatus FROM lineitem GROUP BY 1, 2),
+    marked AS (SELECT *, CASE WHEN l_linestatus IS DISTINCT FROM lag(l_linestatus) OVER w AND lag(l_linestatus) OVER w IS NOT NULL THEN 0 ELSE 1 END AS fresh
+               FROM reads WINDOW w AS (PARTITION BY l_partkey ORDER BY ord)),
+    runs AS (SELECT *, sum(fresh) OVER (PARTITION BY l_partkey ORDER BY ord) AS run FROM marked),
+    placed AS (SELECT *, (row_number() OVER (PARTITION BY l_partkey, run ORDER BY ord) - 1) // 2 AS k FROM runs)
+    SELECT l_partkey, max(ord) FILTER (l_linestatus = 'F') AS ord_1, max(ord) FILTER (l_linestatus = 'O') AS ord_2
+    FROM placed GROUP BY l_partkey, run, k HAVING count(*) = 2""")
+def pair_strands_in_order(spark, sf_dir):
+    """Molecules of reads that pair in input order, where strands repeat."""
+    reads = table(spark, sf_dir, "lineitem").groupBy("l_partkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord")).agg(F.min("l_linestatus").alias("l_linestatus"))
+    numbered = pairing.in_order(reads, ["l_partkey"], "l_linestatus", "ord")
+    return pairing.pair(numbered, ["l_partkey", "mol"], "l_linestatus", "F", "O", ["ord"]).drop("mol")
+
+
 @query(f"""
     WITH {_SIDED}
     SELECT * FROM sided s WHERE (SELECT count(DISTINCT l_linestatus) FROM sided t WHERE t.l_orderkey = s.l_orderkey AND t.l_linenumber = s.l_linenumber) = 1""")

@@ -64,11 +64,14 @@ def sequence_index(spark: SparkSession, path) -> DataFrame:
 
 
 def groups(spark: SparkSession, path, samples: DataFrame) -> DataFrame:
-    """sample, group for every sample; without a third column all are in 'all'. A sample without a group is an error."""
+    """sample, group for every sample; if no line has a third column, all are in 'all'. Otherwise a sample without a group is an error."""
     rows = _lines(spark, path).select(F.split("line", "\t").alias("p"))
-    named = rows.select(F.get("p", F.lit(1)).alias("sample"), F.coalesce(F.get("p", F.lit(2)), F.lit("all")).alias("group")).distinct()
+    every = samples.select("sample").distinct()
+    if rows.where(F.size("p") >= 3).isEmpty():
+        return every.withColumn("group", F.lit("all"))
+    named = rows.select(F.trim(F.get("p", F.lit(1))).alias("sample"), F.nullif(F.trim(F.get("p", F.lit(2))), F.lit("")).alias("group")).distinct()
     missing = F.raise_error(F.concat(F.lit("no group for sample "), F.col("sample"))).cast("string")
-    return samples.select("sample").distinct().join(named, "sample", "left").withColumn("group", F.when(F.col("group").isNotNull(), F.col("group")).otherwise(missing))
+    return every.join(named, "sample", "left").withColumn("group", F.when(F.col("group").isNotNull(), F.col("group")).otherwise(missing))
 
 
 def spectra(spark: SparkSession, paths, column: str = "normcounts") -> DataFrame:

@@ -1,10 +1,11 @@
 import gzip
+import random
 import struct
 
 import pytest
 from pyspark.sql import functions as F
 
-from strandweave.operators import kmers, walk
+from strandweave.operators import kmers, pairing, walk
 from strandweave.plans import preprocess, somatic
 from strandweave.sources import sinks, tables
 from strandweave.sources.alignments import AlignmentSource
@@ -131,7 +132,12 @@ def test_text_sources_and_sinks(spark, tmp_path):
     assert tables.contexts(spark, str(tmp_path / "s1.context.bed")).first().depth == 7
     (tmp_path / "g.tsv").write_text("# x\na.bam\ts1\tg1\nb.bam\ts2\n")
     samples = spark.createDataFrame([("s1",), ("s2",)], "sample string")
-    assert {tuple(r) for r in tables.groups(spark, str(tmp_path / "g.tsv"), samples).collect()} == {("s1", "g1"), ("s2", "all")}
+    with pytest.raises(Exception, match="no group for sample s2"):
+        tables.groups(spark, str(tmp_path / "g.tsv"), samples).collect()
+    (tmp_path / "g.tsv").write_text("a.bam\ts1\t g1\nb.bam\ts2\tg2\n")
+    assert {tuple(r) for r in tables.groups(spark, str(tmp_path / "g.tsv"), samples).collect()} == {("s1", "g1"), ("s2", "g2")}
+    (tmp_path / "g.tsv").write_text("a.bam\ts1\nb.bam\ts2\n")
+    assert {tuple(r) for r in tables.groups(spark, str(tmp_path / "g.tsv"), samples).collect()} == {("s1", "all"), ("s2", "all")}
     out = spark.createDataFrame([("c", 2, None), ("c", 1, "x")], "contig string, start int, note string")
     sinks.as_text(out, f"{tmp_path}/out", ["contig", "start", "note"], ["contig", "start"])
     assert [r.value for r in spark.read.text(f"{tmp_path}/out").collect()] == ["c\t1\tx", "c\t2\t"]
@@ -149,3 +155,23 @@ def test_streamed_pairs(spark, tmp_path):
         assert [(r.zm, r.pos_1, r.pos_2) for r in spark.sql("select * from pairs").collect()] == [(1, 5, 6)]
     finally:
         query.stop()
+
+
+def test_strands_pair_in_input_order(spark):
+    """Against the rule told as a loop over the reads of each key, on random orders of strands."""
+    rng = random.Random(4)
+    rows = [(key, rng.choice(["fwd", "rev"]), at) for key in range(120) for at in rng.sample(range(50), rng.randint(1, 9))]
+    want = set()
+    for key in range(120):
+        waiting = {}
+        for _, side, at in sorted((r for r in rows if r[0] == key), key=lambda r: r[2]):
+            waiting[side] = at
+            if len(waiting) == 2:
+                want.add((key, waiting["fwd"], waiting["rev"]))
+                waiting = {}
+    numbered = pairing.in_order(spark.createDataFrame(rows, "zm int, strand string, at int"), ["zm"], "strand", "at")
+    got = pairing.pair(numbered, ["zm", "mol"], "strand", "fwd", "rev", ["at"]).collect()
+    assert {(r.zm, r.at_1, r.at_2) for r in got} == want and len(got) == len(want)
+    for key in range(120):
+        numbers = [r.mol for r in sorted(got, key=lambda r: max(r.at_1, r.at_2)) if r.zm == key]
+        assert numbers == list(range(1, len(numbers) + 1))
