@@ -16,7 +16,7 @@ import regex
 from tokenizers import Tokenizer
 
 #: Bytes that one memory of a worker may take, about: this much new, and as much of before. Longer texts aren't remembered.
-MOST_BYTES, MOST_LETTERS = 45_000_000, 48
+MOST_BYTES, MOST_LETTERS = 75_000_000, 48
 #: What Python needs for an entry beside its letters.
 ENTRY_BYTES = 250
 
