@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 
@@ -85,13 +86,13 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     if _MARKS.search(text):
         found += list(_people(text))
     kept: list[tuple[int, int, str, str]] = []
-    if found:
-        taken: list[tuple[int, int]] = []
-        for start, end, kind, value in found:
-            if end > start and all(end <= a or start >= b for a, b in taken):
-                taken.append((start, end))
-                kept.append((start, end, kind, canonical(kind, value)))
-    return sorted(kept)
+    starts: list[int] = []  # of what is kept, in order: only the neighbours of a place can overlap it
+    for start, end, kind, value in found:
+        k = bisect.bisect_left(starts, start)
+        if end > start and (k == 0 or kept[k - 1][1] <= start) and (k == len(kept) or end <= starts[k]):
+            starts.insert(k, start)
+            kept.insert(k, (start, end, kind, canonical(kind, value)))
+    return kept
 
 
 class Draws:
@@ -123,16 +124,42 @@ def _shape(draws: Draws, value: str, hexadecimal: bool = False) -> str:
     return "".join(out)
 
 
+def _mod97(iban: str) -> int:
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def _network(value: str) -> int:
+    """How many numbers at the start of an address tell its private network."""
+    own = value.split(".")
+    return 2 if own[:2] == ["192", "168"] else 1 if own[0] in ("10", "127") else 0
+
+
+#: Kinds whose mentions hold a fixed number of letters and digits, so that replacements can't grow.
+FIXED_FORMAT = ("ipv4", "phone", "card", "national", "iban")
+
+
+def space(kind: str, value: str) -> str:
+    """What a replacement keeps of a value of a kind of fixed format: values of one space may replace each other."""
+    if kind == "ipv4":
+        return ".".join(value.split(".")[: _network(value)])
+    if kind == "phone":
+        return f"{value[: max(0, len(value) - 10)]} {len(value)}"
+    if kind == "card":
+        return f"{len(value)} {_luhn(value) == 0}"
+    if kind == "iban":
+        return f"{value[:2]} {re.sub('[A-Z]', 'A', re.sub('[0-9]', '0', value[2:]))} {_mod97(value) == 1}"
+    return ""
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
-    """The attempt-th canonical replacement of a canonical value."""
-    draws = Draws(key, kind, value, attempt)
+    """The attempt-th canonical replacement of a canonical value; those without a fixed format grow with the attempts."""
+    draws, longer = Draws(key, kind, value, attempt), attempt // 4
     if kind == "email":
         local, _, domain = value.rpartition("@")
         name, _, top = domain.rpartition(".")
-        return f"{_shape(draws, local)}@{_shape(Draws(key, 'domain', domain), name)}.{top}"
+        return f"{_shape(draws, local + 'x' * longer)}@{_shape(Draws(key, 'domain', domain), name)}.{top}"
     if kind == "ipv4":
-        own = value.split(".")
-        fixed = 2 if own[:2] == ["192", "168"] else 1 if own[0] in ("10", "127") else 0
+        own, fixed = value.split("."), _network(value)
         return ".".join([*own[:fixed], *(str(1 + draws.below(254)) for _ in own[fixed:])])
     if kind == "phone":
         country = max(0, len(value) - 10)
@@ -141,7 +168,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         new = _shape(draws, value)
         return next(x for x in (new[:-1] + d for d in "0123456789") if _luhn(x) == 0) if _luhn(value) == 0 else new
     if kind == "iban":
-        return value[:2] + _shape(draws, value[2:])
+        body = _shape(draws, value[4:])
+        return f"{value[:2]}{98 - _mod97(value[:2] + '00' + body):02d}{body}" if _mod97(value) == 1 else value[:2] + _shape(draws, value[2:4]) + body
     if kind.startswith("given:"):
         _, script, gender = kind.split(":")
         if attempt < 4:
@@ -150,8 +178,15 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int) -> str:
         ending = ("а" if script == "cyrillic" else "a") if gender == "f" else ""
         return _syllables(draws, script, 2 + attempt // 8) + ending
     if kind.startswith("family:"):
-        return _syllables(draws, kind.split(":")[1], 3 + attempt // 8)
-    return _shape(draws, value, kind == "hex")
+        return _syllables(draws, kind.split(":")[1], 3 + attempt // 8) + _family_ending(value)
+    return _shape(draws, value + ("a" if kind == "hex" else "x") * longer, kind == "hex")
+
+
+def _family_ending(value: str) -> str:
+    """Cyrillic family names tell the gender by their ending."""
+    if value.endswith(("ова", "ева", "ёва", "ина", "ая")):
+        return "ова"
+    return "ов" if value.endswith(("ов", "ев", "ёв", "ин", "ий")) else ""
 
 
 def _syllables(draws: Draws, script: str, count: int) -> str:

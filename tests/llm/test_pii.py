@@ -66,3 +66,41 @@ def test_many_rows(spark):
     assert len({e[3] for r in new for e in pii_rules.find(r.text)}) == len({e[3] for _, t in rows for e in pii_rules.find(t)})
     assert {r.text for r in new if not r.n_entities} == {t for i, t in rows if i >= 500}
     assert pii.pseudonymise(docs(spark, []), KEY).count() == 0
+
+
+def replaced(spark, entities):
+    got = pii.replacements(spark.createDataFrame(entities, "kind string, value string"), KEY).collect()
+    assert sorted((r.kind, r.value) for r in got) == sorted(entities)
+    assert len({(r.kind, r.surrogate) for r in got}) == len(entities) and all(r.value != r.surrogate for r in got)
+    return {(r.kind, r.value): r.surrogate for r in got}
+
+
+def test_small_and_full_spaces_of_values(spark):
+    mailboxes = [("email", f"{x}@example.com") for x in pii_rules.ALPHABETS["latin"]] + [("email", "_@a.org"), ("email", "_@b.org")]
+    got = replaced(spark, mailboxes + [("secret", "--------"), ("secret", "........"), ("hex", "ab" * 20)])
+    assert len({v.rpartition("@")[2] for (_, o), v in got.items() if o.endswith("@example.com")}) == 1
+    # every address of a network occurs, so none is free: they exchange theirs
+    network = [("ipv4", f"192.168.{i}.{j}") for i in range(256) for j in range(0, 256)]
+    got = replaced(spark, network)
+    assert all(v.startswith("192.168.") for v in got.values())
+
+
+def test_one_entity_of_a_full_space_changes_places(spark):
+    full = spark.createDataFrame([("ipv4", "192.168.1.1"), ("ipv4", "10.0.0.9")], "kind string, value string")
+    settled = spark.createDataFrame([("ipv4", "192.168.1.2", "192.168.7.7"), ("ipv4", "10.0.0.1", "10.4.5.6"), ("ipv4", "10.0.0.2", "10.4.5.7"), ("email", "a@b.c", "x@y.c")], "kind string, value string, surrogate string")
+    got = {r.value: r.surrogate for r in pii.exchanged(full, settled, KEY).collect()}
+    assert got["192.168.1.1"] == "192.168.7.7" and got["192.168.1.2"] == "192.168.1.1" and got["a@b.c"] == "x@y.c"
+    assert len(got) == 6 == len(set(got.values())) and all(v.split(".")[0] == o.split(".")[0] for o, v in got.items() if "@" not in o)
+
+
+def test_check_digits_and_endings():
+    assert pii_rules._mod97("DE89370400440532013000") == 1
+    new = pii_rules.surrogate(KEY, "iban", "DE89370400440532013000", 0)
+    assert pii_rules._mod97(new) == 1 and new[:2] == "DE" and new != "DE89370400440532013000"
+    assert pii_rules.surrogate(KEY, "family:cyrillic", "петрова", 0).endswith("ова")
+
+
+def test_long_text_with_many_entities(spark):
+    text = " ".join(f"user{i}@host.org" for i in range(30_000))
+    row = run(spark, [(1, text)])[1]
+    assert row.n_entities == 30_000 and len(set(row.text.split(" "))) == 30_000 and "user1@host.org" not in row.text.split(" ")
