@@ -24,10 +24,10 @@ ENTRY_BYTES = 250
 class Memory(dict):
     """text -> value, in two generations, so that common texts outlive the rare ones."""
 
-    def __init__(self):
+    def __init__(self, most_bytes: int = MOST_BYTES):
         super().__init__()
         self.before: dict = {}
-        self.taken = 0
+        self.taken, self.most_bytes = 0, most_bytes
 
     def make(self, key: str):
         raise NotImplementedError
@@ -35,7 +35,7 @@ class Memory(dict):
     def __missing__(self, key: str):
         if len(key) > MOST_LETTERS:
             return self.make(key)
-        if self.taken >= MOST_BYTES:
+        if self.taken >= self.most_bytes:
             self.before = dict(self)
             self.clear()
             self.taken = 0
@@ -67,8 +67,8 @@ class WordIds(Memory):
     For tokenizers whose pre-tokeniser drops white space (word_bpe_49k.json).
     """
 
-    def __init__(self, path: str):
-        super().__init__()
+    def __init__(self, path: str, most_bytes: int = MOST_BYTES):
+        super().__init__(most_bytes)
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         # a plain word is one pre-token, so the merges alone give its ids
@@ -96,8 +96,8 @@ class WordIds(Memory):
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def word_ids(path: str, most_bytes: int = MOST_BYTES) -> WordIds:
+    return WordIds(path, most_bytes)
 
 
 class PieceSpans(Memory):

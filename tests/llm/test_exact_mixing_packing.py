@@ -96,3 +96,11 @@ def test_fullest_closes_first():
     assert [bins.place(n) for n in (6, 7)] == [(0, 0), (1, 0)]
     assert bins.place(8) == (2, 0)  # two are open: the one with 3 free closes
     assert bins.place(4) == (0, 6) and bins.place(2) == (2, 8)
+
+
+def test_a_small_memory_of_words_gives_the_same_pieces(spark):
+    rng = random.Random(11)
+    table = docs(spark, [(i, " ".join(prose(rng, 300))) for i in range(20)])
+    path = packing.tokenizer_path("word_bpe_49k.json")
+    few, many = (sorted(packing.pieces(table, "text", "doc_id", path, memory_bytes=n).collect()) for n in (2_000, 20_000_000))
+    assert few == many and len(few) == 20
