@@ -34,8 +34,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens."""
-    return packing.pack(docs)
+    """Sequences of at most 2048 tokens; workers that have run four stages before remember fewer words."""
+    return packing.pack(docs, memory_bytes=20_000_000)
 
 
 STAGES = [
