@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dna import contexts, fold
+from ..functions.dna import BASES, contexts, fold
+
+#: Letters that are counted at a time, so that a whole chromosome in one row takes little memory.
+SLICE = 1 << 20
 
 
 def trimers(seq: Column) -> Column:
@@ -16,11 +23,47 @@ def trimers(seq: Column) -> Column:
     return F.when(n >= 3, F.slice(triples, 1, F.greatest(n - 2, F.lit(0)))).otherwise(F.array().cast("array<string>"))
 
 
+def _codes(body: bytes) -> np.ndarray:
+    """How often each of the 64 3-mers occurs, in the order of BASES; windows with any other letter don't count."""
+    known, out = np.full(256, 64, np.uint8), np.zeros(64, np.int64)
+    known[list(BASES.encode())] = range(4)
+    letters = np.frombuffer(body, np.uint8)
+    for at in range(0, len(letters) - 2, SLICE):
+        x = known[letters[at : at + SLICE + 2]].astype(np.int16)
+        window = x[:-2] * 16 + x[1:-1] * 4 + x[2:]
+        out += np.bincount(window[np.maximum(np.maximum(x[:-2], x[1:-1]), x[2:]) < 4], minlength=64)
+    return out
+
+
+def tally(rows: DataFrame, seq: str = "seq", weight: str | None = None, upper: bool = True) -> DataFrame:
+    """tri, positions, total_depth: folded 3-mers of all rows and the sum of their rows' weights (nulls: 0).
+
+    Each task adds up its own rows and sends on 64 numbers, whatever its size.
+    """
+    body = (F.upper(seq) if upper else F.col(seq)).cast("string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        positions, depth = np.zeros(64, np.int64), np.zeros(64, np.int64)
+        for batch in batches:
+            for text, w in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                found = _codes((text.as_py() or "").encode("utf-8", "surrogatepass"))
+                positions += found
+                depth += found * w
+        names = [a + b + c for a in BASES for b in BASES for c in BASES]
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(positions), pa.array(depth)], names=["tri", "positions", "total_depth"])
+
+    weighed = F.coalesce(F.col(weight).cast("long"), F.lit(0).cast("long")) if weight else F.lit(0).cast("long")
+    parts = rows.select(body.alias("s"), weighed.alias("w")).mapInArrow(run, "tri string, positions long, total_depth long").where("positions > 0")
+    return parts.groupBy(fold(F.col("tri")).alias("tri")).agg(F.sum("positions").alias("positions"), F.sum("total_depth").alias("total_depth"))
+
+
 def composition(sequences: DataFrame, seq: str = "seq", by: tuple[str, ...] = (), upper: bool = True) -> DataFrame:
     """by, tri, n: folded 3-mers by context. Others than A, C, G, T are left out; nothing reaches from one row to the next.
 
     upper: case doesn't count, as in genomes; without it lower-case letters are others.
     """
+    if not by:
+        return tally(sequences, seq, None, upper).select("tri", F.col("positions").alias("n"))
     body = F.upper(seq) if upper else F.col(seq)
     tri = sequences.select(*by, F.explode(trimers(body)).alias("tri")).groupBy(*by, "tri").agg(F.count(F.lit(1)).alias("n"))
     return tri.withColumn("tri", fold(F.col("tri"))).where("tri is not null").groupBy(*by, "tri").agg(F.sum("n").alias("n"))

@@ -331,8 +331,7 @@ def spectrum_counts(spark, sf_dir):
            round(CASE WHEN sum(normcounts) OVER () > 0 THEN normcounts / sum(normcounts) OVER () ELSE 0 END, 8) AS normfrac FROM norm""")
 def spectrum_normalise(spark, sf_dir):
     """The spectrum corrected for how often each context could be seen."""
-    rows = table(spark, sf_dir, "documents").select(F.coalesce("n_chars", F.lit(0)).alias("depth"), F.explode(kmers.trimers(F.upper("text"))).alias("tri"))
-    tally = spectrum.context_tally(rows)
+    tally = kmers.completed(kmers.tally(table(spark, sf_dir, "documents"), "text", "n_chars"), "positions").na.fill(0, ["total_depth"])
     genome = tally.select("tri", F.col("positions").alias("n"))
     counts = spectrum.counts96(_changes(spark, sf_dir), ["l_partkey", "ref", "alt", "tri"])
     out = spectrum.normalise(counts, tally, genome)

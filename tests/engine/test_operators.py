@@ -108,6 +108,19 @@ def test_kmers(spark):
     assert [(r.pos, r.ref, r.tri) for r in placed][:3] == [(0, "A", None), (1, "C", "ACG"), (2, "G", "CGT")] and placed[7].tri is None and len(placed) == 10
 
 
+def test_kmer_tally_agrees_with_exploded_rows(spark, monkeypatch):
+    body = "".join(np.random.default_rng(2).choice(list("ACGTacgtNé "), 4000, p=[0.11] * 8 + [0.04] * 3))
+    whole = kmers._codes(body.upper().encode())
+    monkeypatch.setattr(kmers, "SLICE", 7)  # here only: the workers keep theirs
+    assert whole.sum() > 1000 and (kmers._codes(body.upper().encode()) == whole).all()
+    rows = spark.createDataFrame([(body, 3), (body[:50], None), ("ẗACG", 2), ("AC", 5), ("", 1), (None, 9)], "seq string, w int")
+    slow = rows.select(F.coalesce("w", F.lit(0)).alias("depth"), F.explode(kmers.trimers(F.upper("seq"))).alias("tri"))
+    want = {r.tri: (r.positions, r.total_depth) for r in spectrum.context_tally(slow).collect() if r.positions}
+    assert {r.tri: (r.positions, r.total_depth) for r in kmers.tally(rows, "seq", "w").collect()} == want
+    assert kmers.tally(rows.limit(0), "seq", "w").count() == 0
+    assert sum(x[0] for x in want.values()) > 1000
+
+
 def test_spectrum_of_unseen_contexts(spark):
     tally = kmers.completed(spark.createDataFrame([("ACA", 10)], "tri string, positions long"), "positions").withColumn("total_depth", F.col("positions") * 3)
     genome = spark.createDataFrame([("ACA", 4), ("ACC", 4)], "tri string, n long")
