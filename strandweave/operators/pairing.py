@@ -16,6 +16,14 @@ def latest(reads: DataFrame, keys: list[str], side: str, order: str) -> DataFram
     return reads.groupBy(*keys, side).agg(F.max_by(row, F.col(order)).alias("__row")).select("__row.*")
 
 
+def _runs(reads: DataFrame, keys: list[str], side: str, order: str) -> DataFrame:
+    """reads with __run, the run of changing sides they belong to, and __k, their place in it from 1."""
+    along = Window.partitionBy(*keys).orderBy(order)
+    before = F.lag(side).over(along)
+    marked = reads.withColumn("__new", F.when(before.isNull() | (before == F.col(side)), 1).otherwise(0)).withColumn("__run", F.sum("__new").over(along))
+    return marked.withColumn("__k", F.row_number().over(Window.partitionBy(*keys, "__run").orderBy(order))).drop("__new")
+
+
 def in_order(reads: DataFrame, keys: list[str], side: str, order: str, number: str = "mol") -> DataFrame:
     """The reads that make up a molecule, in order of input, and its number (increasing along the key).
 
@@ -24,13 +32,15 @@ def in_order(reads: DataFrame, keys: list[str], side: str, order: str, number: s
     sides each time, every second one closes a pair with the one before it; a
     read of the same side as the one before begins a new run.
     """
-    along = Window.partitionBy(*keys).orderBy(order)
-    before = F.lag(side).over(along)
-    marked = reads.withColumn("__new", F.when(before.isNull() | (before == F.col(side)), 1).otherwise(0)).withColumn("__run", F.sum("__new").over(along))
-    run = Window.partitionBy(*keys, "__run")
-    marked = marked.withColumn("__k", F.row_number().over(run.orderBy(order))).withColumn("__n", F.count(F.lit(1)).over(run))
+    marked = _runs(reads, keys, side, order).withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "__run")))
     whole = marked.where(F.col("__k") <= F.col("__n") - F.col("__n") % 2)
-    return whole.withColumn(number, F.sum(F.col("__k") % 2).over(along)).drop("__new", "__run", "__k", "__n")
+    return whole.withColumn(number, F.sum(F.col("__k") % 2).over(Window.partitionBy(*keys).orderBy(order))).drop("__run", "__k", "__n")
+
+
+def still_waiting(reads: DataFrame, keys: list[str], side: str, order: str) -> DataFrame:
+    """keys of which a read waits for its other side when all are read: the last one closed no pair."""
+    last = _runs(reads, keys, side, order).groupBy(*keys).agg(F.max_by("__k", order).alias("__k"))
+    return last.where(F.col("__k") % 2 == 1).select(*keys)
 
 
 def pair(reads: DataFrame, keys: list[str], side: str, first: str, second: str, carry: list[str]) -> DataFrame:

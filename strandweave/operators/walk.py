@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dna import round_half_even
 from .band import within
-from .filters import EQ, I, D, M, N, S, X
+from .filters import EQ, I, D, M, N, S, X, identity
 from .pairing import in_order, pair, strand
 
 QUERY_OPS, REFERENCE_OPS, BLOCK_OPS = (M, I, S, EQ, X), (M, D, N, EQ, X), (M, EQ, X)
@@ -58,15 +58,18 @@ def masked_qualities(qual: Column, ops: Column, trim: float = 50, indel_pad: int
 
 
 def aligned_bases(reads: DataFrame, keep: list[str], trim: float = 50, indel_pad: int = 10, window: int = 20) -> DataFrame:
-    """keep, pos, base, bq, qpos, bq_mean, bq_sd, qlen, start, end: a row for each base aligned to the reference.
+    """keep, pos, base, bq, qpos, bq_mean, bq_sd, qlen, sim, sm, start, end: a row for each base aligned to the reference.
 
     bq_mean and bq_sd are over the masked qualities within `window` of the
-    base in the read, rounded to 2 places.
+    base in the read, rounded to 2 places. sim is the read's identity, sm the passes
+    that support the base; null for reads without nm or sm.
     """
     prepared = reads.withColumn("__ops", placed_ops(F.col("cigar"))).withColumn("__bq", masked_qualities(F.col("qual"), F.col("__ops"), trim, indel_pad))
     span = F.aggregate(F.filter("cigar", lambda o: o["op"].isin(*REFERENCE_OPS)), F.lit(0), lambda t, o: t + o["len"])
     prepared = prepared.withColumn("start", F.col("pos")).withColumn("end", F.col("pos") + span).withColumn("qlen", F.length("seq")).withColumn("__bases", F.split("seq", ""))
-    blocks = prepared.select(*keep, "start", "end", "qlen", "__bq", "__bases", F.explode(F.filter("__ops", lambda o: o["op"].isin(*BLOCK_OPS))).alias("o"))
+    prepared = prepared.withColumn("sim", identity() if "nm" in reads.columns else F.lit(None).cast("double"))
+    prepared = prepared.withColumn("__sm", F.col("sm").cast("array<int>") if "sm" in reads.columns else F.lit(None).cast("array<int>"))
+    blocks = prepared.select(*keep, "start", "end", "qlen", "sim", "__sm", "__bq", "__bases", F.explode(F.filter("__ops", lambda o: o["op"].isin(*BLOCK_OPS))).alias("o"))
     bases = blocks.select("*", F.explode(F.sequence(F.lit(0), F.col("o.len") - 1)).alias("k")).where("o.len > 0").withColumn("qpos", F.col("o.q") + F.col("k"))
     around = F.slice(F.col("__bq"), F.greatest(F.col("qpos") - window, F.lit(0)) + 1, F.least(F.col("qpos") + window, F.col("qlen") - 1) - F.greatest(F.col("qpos") - window, F.lit(0)) + 1)
     total = F.aggregate(around, F.lit(0.0), lambda t, q: t + q)
@@ -78,6 +81,8 @@ def aligned_bases(reads: DataFrame, keep: list[str], trim: float = 50, indel_pad
         "start",
         "end",
         "qlen",
+        "sim",
+        F.get("__sm", F.col("qpos")).alias("sm"),
         (F.col("start") + F.col("o.r") + F.col("k")).alias("pos"),
         F.element_at("__bases", F.col("qpos") + 1).alias("base"),
         F.element_at("__bq", F.col("qpos") + 1).alias("bq"),
@@ -97,7 +102,7 @@ def duplex_bases(reads: DataFrame, reference: DataFrame, trim: float = 50, indel
     """
     sided = in_order(reads.withColumn("strand", strand(F.col("qname"))), ["sample", "contig", "zm"], "strand", "input_ord")
     bases = aligned_bases(sided, ["sample", "contig", "zm", "mol", "strand", "ec"], trim, indel_pad, window)
-    met = pair(bases, ["sample", "contig", "zm", "mol", "pos"], "strand", "fwd", "rev", ["base", "bq", "qpos", "bq_mean", "bq_sd", "qlen", "start", "end", "ec"])
+    met = pair(bases, ["sample", "contig", "zm", "mol", "pos"], "strand", "fwd", "rev", ["base", "bq", "qpos", "bq_mean", "bq_sd", "qlen", "sim", "sm", "start", "end", "ec"])
     return met.join(reference.select("contig", "pos", "ref", "tri"), ["contig", "pos"])
 
 
@@ -138,6 +143,12 @@ def classify_collapsed(reads: DataFrame, reference: DataFrame, min_bq: int = 93,
     return met.withColumn("kind", kind).withColumn("callable", changed | (good & same)).withColumn("n_mis", F.lit(0).cast("long")).withColumn("nob", F.lit(0))
 
 
+def strand_call(suffix: str = "") -> Column:
+    """What one strand says at a position, as a struct in the order of a change table's sub-fields."""
+    fields = {"alt": "base", "qual": "bq", "qpos": "qpos", "ec": "ec", "sm": "sm", "qlen": "qlen", "sim": "sim", "mean": "bq_mean", "sd": "bq_sd"}
+    return F.struct(*[(F.col(c + suffix).cast("int") if name == "ec" else F.col(c + suffix)).alias(name) for name, c in fields.items()])
+
+
 def bq_histogram(bases: DataFrame) -> DataFrame:
     """bq, n: the lesser quality of positions where both strands match the reference, ungated."""
     return bases.where("base_1 = ref and base_2 = ref").groupBy(F.least("bq_1", "bq_2").alias("bq")).agg(F.count(F.lit(1)).alias("n"))

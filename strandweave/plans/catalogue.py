@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import dna, stats
+from ..functions.genomes import PRESETS, preset
 from ..operators import annotate, attribution, band, filters, intervals, kmers, pairing, setops, spectrum
+from . import corrected
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -338,6 +340,28 @@ def spectrum_normalise(spark, sf_dir):
     return out.select("sbs96", "counts", F.round("frac", 8).alias("frac"), F.round("normcounts", 4).alias("normcounts"), F.round("normcounts_frac", 8).alias("normfrac"))
 
 
+_HUMAN = ", ".join(f"('{tri}', {n})" for tri, n in PRESETS["GRCh38"].items())
+_ROUNDED = {"frac": 8, "normcounts": 4, "normfrac": 8, "normcounts_new": 4, "normfrac_new": 8, "freq_C(c)": 10, "freq_G(c)": 10, "freq_G(c)_new": 10, "freq_G/freq_C(c)": 6, "freq_G(c)_new/freq_C(c)": 6, "Human_normcounts": 4, "Human_normfrac": 8, "freq_G_human": 10}
+
+
+@query(f"""
+    WITH {_TRI.format(body='upper(text)')}, {_ALL32}, {_CHANGES},
+    tally AS (SELECT tri, count(f) AS positions, coalesce(sum(n_chars), 0)::BIGINT AS depth FROM dims LEFT JOIN good ON f = tri GROUP BY tri),
+    freq AS (SELECT tri, positions, depth, human, depth / (sum(depth) OVER ())::DOUBLE AS fc, positions / (sum(positions) OVER ())::DOUBLE AS fg, human / (sum(human) OVER ())::DOUBLE AS fh
+             FROM tally JOIN (VALUES {_HUMAN}) h(tri, human) USING (tri)),
+    norm AS (SELECT *, CASE WHEN fc > 0 THEN counts * fg / fc ELSE 0 END AS ng, CASE WHEN fc > 0 THEN counts * fh / fc ELSE 0 END AS nh, CASE WHEN fc > 0 THEN fg / fc ELSE 0 END AS gc FROM counted JOIN freq USING (tri))
+    SELECT sbs96[3:5] AS sub, tri, sbs96, counts, round(counts / (sum(counts) OVER ())::DOUBLE, 8) AS frac, round(ng, 4) AS normcounts, round(ng / sum(ng) OVER (), 8) AS normfrac,
+           round(ng, 4) AS normcounts_new, round(ng / sum(ng) OVER (), 8) AS normfrac_new, round(fc, 10) AS "freq_C(c)", round(fg, 10) AS "freq_G(c)", round(fg, 10) AS "freq_G(c)_new",
+           round(gc, 6) AS "freq_G/freq_C(c)", round(gc, 6) AS "freq_G(c)_new/freq_C(c)", positions AS genome_tri_count, positions AS ref_callable_tri_count, depth AS duplex_callable_tri_count,
+           round(nh, 4) AS "Human_normcounts", round(nh / sum(nh) OVER (), 8) AS "Human_normfrac", round(fh, 10) AS freq_G_human, human::BIGINT AS human_tri_count FROM norm""")
+def spectrum_table(spark, sf_dir):
+    """All 21 columns of the corrected spectrum."""
+    tally = kmers.completed(kmers.tally(table(spark, sf_dir, "documents"), "text", "n_chars"), "positions").na.fill(0, ["total_depth"])
+    counts = spectrum.counts96(_changes(spark, sf_dir), ["l_partkey", "ref", "alt", "tri"])
+    out = corrected.named(spectrum.normalise(counts, tally, tally.select("tri", F.col("positions").alias("n")), preset(spark, "GRCh38")))
+    return out.select(*[F.round(F.col(c), _ROUNDED[c]).alias(c) if c in _ROUNDED else F.col(c) for c in corrected.COLUMNS])
+
+
 @query("""
     WITH h AS (SELECT l_quantity::INT AS bq, count(*) AS n FROM lineitem GROUP BY 1), bins AS (SELECT unnest(range(0, 94)) AS bq),
     full_h AS (SELECT bins.bq::INT AS bq, coalesce(n, 0) AS n FROM bins LEFT JOIN h ON h.bq = bins.bq)

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.dna import round_half_even
+from ..functions.dna import ratio, round_half_even
 from ..operators import filters, intervals, walk
 from ..operators.filters import tally
 
@@ -83,10 +83,11 @@ def context(called: DataFrame, reference: DataFrame, masked: DataFrame, o: Optio
 
 
 def changes(called: DataFrame, masked: DataFrame, o: Options) -> DataFrame:
-    """The records (kinds x, m, z) deep enough and unmasked, with alt and depth."""
+    """The records (kinds x, m, z) deep enough and unmasked, with alt, depth and what the strands say (strand_1, strand_2)."""
     depths = walk.depth(called)
     alt = F.col("base") if o.collapsed else F.when(F.col("base_1") != F.col("ref"), F.col("base_1")).otherwise(F.col("base_2"))
-    records = called.where("kind is not null").withColumn("alt", alt)
+    strands = {"strand_1": walk.strand_call(), "strand_2": F.lit(None).cast("string")} if o.collapsed else {f"strand_{k}": walk.strand_call(f"_{k}") for k in (1, 2)}
+    records = called.where("kind is not null").withColumns({"alt": alt, **strands})
     deep = records.join(depths, ["sample", "contig", "pos"], "left").withColumn("depth", F.coalesce("depth", F.lit(0))).where(F.col("depth") >= o.min_depth)
     return intervals.unmasked(deep.withColumnRenamed("start", "read_start").withColumnRenamed("end", "read_end") if o.collapsed else deep, masked, ["sample", "contig"])
 
@@ -105,3 +106,48 @@ def lacking_a_strand(reads: DataFrame, o: Options) -> DataFrame:
     return unpaired(filtered(reads, o).where("reason is null").withColumn("strand", strand(F.col("qname"))), ["sample", "contig", "zm"], "strand")
 
 
+
+
+#: Counters of a report by the reason of the read filter.
+DISCARDED = {
+    "disc_no_primary": "not_primary",
+    "disc_mapq_qual": "mapq",
+    "disc_min_ec": "ec",
+    "disc_min_qlen": "short",
+    "disc_max_qlen": "long",
+    "disc_max_soft": "softclip",
+    "disc_min_identity": "identity",
+}
+
+
+def metrics(reads: DataFrame, called: DataFrame, contigs: DataFrame, o: Options) -> DataFrame:
+    """One row a sample: counters of reads, molecules and bases, coverage, and the percentages told with them.
+
+    pct_ of a reason is its share of the discarded reads; that of num_discarded and num_zmw
+    the share of all reads (a duplex has two). Shares of nothing are 0.
+    """
+    from ..operators.pairing import in_order, still_waiting, strand
+
+    kept = filtered(reads, o)
+    counters = [F.count(F.lit(1)).alias("num_reads"), F.count("reason").alias("failed"), *[F.count_if(F.col("reason") == r).alias(n) for n, r in DISCARDED.items()]]
+    told = kept.groupBy("sample").agg(*counters)
+    left = kept.where("reason is null")
+    if o.collapsed:
+        molecules = left.groupBy("sample").agg(F.count(F.lit(1)).alias("num_zmw"), F.lit(0).cast("long").alias("disc_lack_compl"))
+    else:
+        keys, sided = ["sample", "contig", "zm"], left.select("sample", "contig", "zm", "input_ord", strand(F.col("qname")).alias("strand"))
+        pairs = in_order(sided, keys, "strand", "input_ord").where("strand = 'fwd'").groupBy("sample").agg(F.count(F.lit(1)).alias("num_zmw"))
+        molecules = pairs.join(still_waiting(sided, keys, "strand", "input_ord").groupBy("sample").agg(F.count(F.lit(1)).alias("disc_lack_compl")), "sample", "full")
+    bases = called.where("callable").groupBy("sample").agg(F.count(F.lit(1)).alias("callable_bps"))
+    length = contigs.agg(F.sum("length").cast("long").alias("total_length_ref"))  # one row
+    out = told.join(molecules, "sample", "left").join(bases, "sample", "left").na.fill(0, ["num_zmw", "disc_lack_compl", "callable_bps"]).crossJoin(F.broadcast(length))
+    out = out.withColumn("num_discarded", F.col("failed") + F.col("disc_lack_compl")).withColumn("coverage", round_half_even(ratio(F.col("callable_bps"), F.col("total_length_ref")), 2))
+    share = lambda a, b: round_half_even(ratio(F.col(a), F.col(b)) * 100, 2)
+    parts = [(share("num_zmw", "num_reads") * (1 if o.collapsed else 2)).alias("pct_zmw"), share("num_discarded", "num_reads").alias("pct_discarded")]
+    parts += [share(n, "num_discarded").alias(n.replace("disc_", "pct_")) for n in (*DISCARDED, "disc_lack_compl")]
+    return out.select("sample", "num_reads", "num_zmw", "num_discarded", *DISCARDED, "disc_lack_compl", "callable_bps", "total_length_ref", "coverage", *parts)
+
+
+def metrics_json(report: DataFrame) -> DataFrame:
+    """sample, json: a report's row as one JSON object."""
+    return report.select("sample", F.to_json(F.struct(*[F.col(c) for c in report.columns])).alias("json"))

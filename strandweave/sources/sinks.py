@@ -28,6 +28,30 @@ def as_text(rows: DataFrame, path: str, columns: list[str], order: list[str]) ->
     rows.orderBy(*order).select(line.alias("value")).write.text(path, compression="gzip")
 
 
+def as_headed_text(rows: DataFrame, path: str, header: list[str], columns: list[str], order: list[str]) -> None:
+    """The same with lines of a header before all rows."""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
+    body = rows.select(line.alias("value"), F.lit(None).cast("int").alias("head"), *[F.col(f"`{c}`").alias(f"o{k}") for k, c in enumerate(order)])
+    head = rows.sparkSession.createDataFrame(list(enumerate(header)), "head int, value string")
+    keys = [f"o{k}" for k in range(len(order))]
+    body.unionByName(head, allowMissingColumns=True).orderBy(F.col("head").asc_nulls_last(), *keys).select("value").write.text(path, compression="gzip")
+
+
+def change_rows(changes: DataFrame) -> DataFrame:
+    """The 12 columns of a change table, strands rendered; a collapsed read's molecule is its name."""
+    molecule = F.col("qname") if "qname" in changes.columns else F.col("zm").cast("string")
+    second = F.lit(".") if dict(changes.dtypes)["strand_2"] == "string" else rendered_strand(F.col("strand_2"))
+    more = [F.col(c) for c in ("sample", "shared", "annotation", "counts") if c in changes.columns]
+    return changes.select(
+        "contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), molecule.alias("zm"), "tri", "ref", rendered_strand(F.col("strand_1")).alias("strand_1"), second.alias("strand_2"), "nob", "n_mis", "kind", "depth", *more
+    )
+
+
+def shared_rows(rows: DataFrame) -> DataFrame:
+    """The 15 columns of a shared change table: change_rows with shared, annotation and counts ('.' where not computed)."""
+    return change_rows(rows).withColumn("counts", rendered_counts(F.col("counts")) if "counts" in rows.columns else F.lit("."))
+
+
 def report_lines(metrics: DataFrame) -> list[str]:
     """A readable report of a one-row table of counters."""
     row = metrics.first().asDict()
