@@ -70,7 +70,12 @@ def composition(sequences: DataFrame, seq: str = "seq", by: tuple[str, ...] = ()
 
 
 def chunk_composition(chunks: DataFrame, seq: str = "seq") -> DataFrame:
-    """The same for a genome stored in chunks that repeat the 2 bases before them; the first of a contig has none before it."""
+    """The same for a genome stored in chunks that repeat the 2 bases before them; the first of a contig has none before it.
+
+    Bases of the next chunk at the end, told by a column tail, don't count again.
+    """
+    if "tail" in chunks.columns:
+        chunks = chunks.withColumn(seq, F.expr(f"substring({seq}, 1, length({seq}) - tail)"))
     return composition(chunks, seq)
 
 
@@ -80,7 +85,11 @@ def completed(counts: DataFrame, value: str = "n") -> DataFrame:
 
 
 def position_contexts(reference: DataFrame) -> DataFrame:
-    """contig, pos, ref, tri from whole contigs (contig, seq): tri is null at the edges."""
+    """contig, pos, ref, tri from whole contigs (contig, seq), or from their pieces (`tables.sequence_chunks`): tri is null at a contig's edges."""
+    if "lead" in reference.columns:
+        inner = position_contexts(reference.select(F.struct("contig", "start", "lead", F.expr("length(seq) - tail").alias("end")).alias("contig"), "seq"))
+        own = inner.where("pos >= contig.lead and pos < contig.end")
+        return own.select("contig.contig", (F.col("contig.start") - F.col("contig.lead") + F.col("pos")).alias("pos"), "ref", "tri")
     seq = F.upper("seq")
     around = F.concat(F.array(F.lit(None).cast("string")), trimers(seq))
     rows = reference.where("length(seq) > 0").select("contig", F.posexplode(F.arrays_zip(F.split(seq, "").alias("ref"), around.alias("tri"))).alias("pos", "b"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CONTEXT_SCHEMA = "contig string, start long, end long, tri string, depth long"
@@ -63,6 +67,51 @@ def sequence_index(spark: SparkSession, path) -> DataFrame:
     return spark.createDataFrame([(r.contig, r.length, k) for k, r in enumerate(ordered)], "contig string, length long, idx int")
 
 
+def sequence_chunks(spark: SparkSession, path: str, index_path: str, size: int = 1 << 16, chunks_a_task: int = 64) -> DataFrame:
+    """contig, start, lead, tail, seq (upper case): an uncompressed sequence file in pieces of `size` bases.
+
+    seq begins with `lead` bases (0 to 2) of the piece before and ends with `tail` (0 or 1) of the
+    next; start is where the piece's own bases begin. Tasks read their byte ranges, told by the
+    index, from a file system that every executor sees; no task holds a whole contig.
+    """
+    if size < 2:
+        raise ValueError("a piece has at least two bases")
+    index = spark.read.csv(index_path, sep="\t", schema="contig string, length long, offset long, linebases int, linewidth int")
+    total = index.agg(F.sum(F.ceil(F.col("length") / size))).first()[0] or 0
+    pieces = index.where("length > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(size).cast("long"))).alias("start"))
+    pieces = pieces.withColumn("lead", F.least(F.col("start"), F.lit(2)).cast("int")).withColumn("tail", (F.col("start") + size < F.col("length")).cast("int"))
+    first, last = F.col("start") - F.col("lead"), F.least(F.col("start") + size, F.col("length")) + F.col("tail")
+    byte = lambda base: F.col("offset") + F.floor(base / F.col("linebases")) * F.col("linewidth") + base % F.col("linebases")
+    ranges = pieces.select("contig", "start", "lead", "tail", byte(first).cast("long").alias("at"), (byte(last - 1) + 1).cast("long").alias("to"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, name = fs.FileSystem.from_uri(path) if ":/" in path else (fs.LocalFileSystem(), path)
+        with system.open_input_file(name) as f:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    row = batch.slice(k, 1)
+                    at, to = row.column("at")[0].as_py(), row.column("to")[0].as_py()
+                    seq = f.read_at(to - at, at).translate(None, b"\r\n").upper().decode("ascii")
+                    yield pa.RecordBatch.from_arrays([*row.columns[:4], pa.array([seq])], names=["contig", "start", "lead", "tail", "seq"])
+
+    return ranges.repartition(max(1, -(-int(total) // chunks_a_task)), "contig", "start").mapInArrow(read, "contig string, start long, lead int, tail int, seq string")
+
+
+def manifest(spark: SparkSession, changes: list[str], alignments: list[str] | None = None) -> DataFrame:
+    """sample, ord, changes, alignments: the files of a run's samples, in order.
+
+    Files named twice count once, where they came first. Alignment files match change files in number and order; without them the column is null.
+    """
+    if alignments is not None and len(alignments) != len(changes):
+        raise ValueError(f"{len(alignments)} alignment files for {len(changes)} change tables")
+    partner: dict[str, str | None] = {}
+    for table, alignment in zip(changes, alignments or [None] * len(changes), strict=True):
+        if partner.setdefault(table, alignment) != alignment:
+            raise ValueError(f"two alignment files for {table}")
+    rows = spark.createDataFrame([(k, table, alignment) for k, (table, alignment) in enumerate(partner.items())], "ord int, changes string, alignments string")
+    return rows.select(sample_of("changes").alias("sample"), "ord", "changes", "alignments")
+
+
 def groups(spark: SparkSession, path, samples: DataFrame) -> DataFrame:
     """sample, group for every sample; if no line has a third column, all are in 'all'. Otherwise a sample without a group is an error."""
     rows = _lines(spark, path).select(F.split("line", "\t").alias("p"))

@@ -114,3 +114,34 @@ def test_still_waiting(spark):
     rows = [(1, "fwd", 1), (1, "rev", 2), (2, "fwd", 1), (3, "fwd", 1), (3, "rev", 2), (3, "rev", 3), (4, "fwd", 1), (4, "fwd", 2), (4, "rev", 3)]
     got = pairing.still_waiting(spark.createDataFrame(rows, "zm int, side string, at int"), ["zm"], "side", "at").collect()
     assert {r.zm for r in got} == {2, 3}
+
+
+def test_sequences_in_pieces(spark, tmp_path):
+    """Pieces of any size give the composition and the contexts of whole contigs."""
+    contigs = {"c": REFERENCE + "NacgtRYAC", "d": "AC", "e": "G" * 31 + "T" * 29}
+    body, index = "", ""
+    for name, seq in contigs.items():
+        body += f">{name} x\n"
+        index += f"{name}\t{len(seq)}\t{len(body)}\t10\t11\n"
+        body += "".join(seq[k : k + 10] + "\n" for k in range(0, len(seq), 10))
+    (tmp_path / "r.fa").write_text(body)
+    (tmp_path / "r.fa.fai").write_text(index)
+    whole = tables.sequences(spark, f"{tmp_path}/r.fa")
+    want = {tuple(r) for r in kmers.position_contexts(whole).collect()}
+    counted = {tuple(r) for r in kmers.composition(whole).collect()}
+    for size, path in ((2, f"{tmp_path}/r.fa"), (7, f"file://{tmp_path}/r.fa"), (1000, f"{tmp_path}/r.fa")):
+        pieces = tables.sequence_chunks(spark, path, f"{tmp_path}/r.fa.fai", size, 8)
+        got = kmers.position_contexts(pieces).collect()
+        assert {tuple(r) for r in got} == want and len(got) == len(want) == sum(map(len, contigs.values()))
+        assert {tuple(r) for r in kmers.chunk_composition(pieces).collect()} == counted
+    with pytest.raises(ValueError):
+        tables.sequence_chunks(spark, "x", f"{tmp_path}/r.fa.fai", 1)
+
+
+def test_manifest(spark):
+    rows = tables.manifest(spark, ["/x/b.muts.bed", "/x/a.muts.bed", "/x/b.muts.bed"], ["b.bam", "a.bam", "b.bam"]).collect()
+    assert [tuple(r) for r in rows] == [("b", 0, "/x/b.muts.bed", "b.bam"), ("a", 1, "/x/a.muts.bed", "a.bam")]
+    assert tables.manifest(spark, ["/x/b.bed"]).first().alignments is None
+    for bad in ((["a.bed"], []), (["a.bed", "a.bed"], ["a.bam", "b.bam"])):
+        with pytest.raises(ValueError):
+            tables.manifest(spark, *bad)
