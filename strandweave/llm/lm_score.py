@@ -1,10 +1,10 @@
 """Stupid-backoff language-model scores of whole documents, from counts over the whole corpus.
 
-Documents are exploded into their n-grams. Each length has a count table,
-partitioned by the n-gram's hash; joined to the tables of its context and of its
-shorter n-gram, it becomes a table of scores, one row for each different n-gram.
-The longest n-gram that ends at each word is joined to those, and the scores
-of all words are summed per document.
+Documents are exploded into words, each with the words before it: the longest n-gram that
+ends there. Those are counted, partitioned by hash, and the counts of shorter n-grams are
+sums of the longer ones'. Joined to the tables of its context and of its shorter n-gram,
+each count table becomes one of scores, a row for each different n-gram. The
+words' n-grams are joined to the longest's, and the scores of all words are summed per document.
 """
 
 from __future__ import annotations
@@ -15,33 +15,30 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import WordHashes, cut, join_counted, mix, sorted_side, stored, word_hashes
+from .common import WordHashes, cut, join_counted, sorted_side, stored, word_hashes
 
 ORDER, BACKOFF, CUTOFF = 3, 0.4, 2
 
+START = 0  # stands for words before a document's first; no word's hash
+MOST_WORDS = 50_000  # rows of one Arrow batch
 
-def grams(words: np.ndarray, order: int) -> list[np.ndarray]:
-    """For n = 1..order: the 64-bit hash of the n-gram that ends at each word from the n-th on."""
-    out, rolled = [], mix(words + np.uint64(1))
-    for n in range(1, order + 1):
-        out.append(rolled)
-        if len(rolled) < 2:
-            rolled = rolled[:0]
-            continue
-        rolled = mix(mix(rolled[:-1]) + words[n:] * np.uint64(3) + np.uint64(n + 1))
-    return out
+
+def histories(words: np.ndarray, order: int) -> list[np.ndarray]:
+    """w0..w(order - 1): each word's hash and those of the words before it; START before the first."""
+    words = np.where(words == START, np.uint64(1), words)
+    return [words] + [np.concatenate([np.full(min(k, len(words)), START, np.uint64), words[: max(0, len(words) - k)]]) for k in range(1, order)]
 
 
 def exploded(docs: DataFrame, text: str, ident: str, order: int) -> tuple[DataFrame, DataFrame]:
-    """(rows: __id, key, n_words of every row; n-grams: __id, key, n, gram, shorter, context, longest).
+    """(rows: __id, key, n_words of every row; words: __id, key, w0..w(order - 1) of every word).
 
-    key is a hash of the text, so that rows which share an ident stay apart. shorter is the
-    n-gram without its first word, context without its last; longest: no
-    longer one ends at that word.
+    key is a hash of the text, so that rows which share an ident stay apart.
+    A word's row is the longest n-gram that ends at it: w0 is the word, w1 the one before.
     """
     narrow = docs.select(F.col(ident).alias("__id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     keyed = narrow.select("__id", F.xxhash64("__text").alias("key"), "__text")
     kind = narrow.schema["__id"].dataType
+    names = [f"w{k}" for k in range(order)]
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -49,46 +46,61 @@ def exploded(docs: DataFrame, text: str, ident: str, order: int) -> tuple[DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
+
+        def batch_of(batch, places, columns):
+            rows = pa.array(np.concatenate(places))
+            words = [pa.array(np.concatenate(x).view(np.int64)) for x in zip(*columns, strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *words], names=["__id", "key", *names])
+
         for batch in batches:
+            places, columns, held = [], [], 0
             for k in range(len(batch)):
-                words = word_hashes(batch.column(2)[k].as_py(), known)
-                by = grams(words, order)
-                for n, own in enumerate(by, 1):
-                    if not len(own):
-                        break
-                    shorter = by[n - 2][1:] if n > 1 else None
-                    context = by[n - 2][:-1] if n > 1 else None
-                    longest = np.ones(len(own), bool) if n == order else np.arange(len(own)) < 1
-                    for at in range(0, len(own), 50_000):
-                        part = slice(at, at + 50_000)
-                        size = len(own[part])
-                        links = [pa.array(x[part].view(np.int64)) if n > 1 else pa.nulls(size, pa.int64()) for x in (shorter, context)]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([batch.column(0)[k].as_py()] * size, batch.schema.field(0).type), pa.array(np.full(size, batch.column(1)[k].as_py(), np.int64)), pa.array(np.full(size, n, np.int32)), pa.array(own[part].view(np.int64)), *links, pa.array(longest[part])],
-                            names=["__id", "key", "n", "gram", "shorter", "context", "longest"],
-                        )
+                whole = histories(word_hashes(batch.column(2)[k].as_py(), known), order)
+                for at in range(0, len(whole[0]), MOST_WORDS):
+                    part = [x[at : at + MOST_WORDS] for x in whole]
+                    places.append(np.full(len(part[0]), k))
+                    columns.append(part)
+                    held += len(part[0])
+                    if held >= MOST_WORDS:
+                        yield batch_of(batch, places, columns)
+                        places, columns, held = [], [], 0
+            if held:
+                yield batch_of(batch, places, columns)
 
     rows = keyed.mapInArrow(lengths, T.StructType().add("__id", kind).add("key", "long").add("n_words", "long"))
-    schema = T.StructType().add("__id", kind).add("key", "long").add("n", "integer").add("gram", "long").add("shorter", "long").add("context", "long").add("longest", "boolean")
+    schema = T.StructType().add("__id", kind).add("key", "long")
+    for name in names:
+        schema = schema.add(name, "long")
     return rows, keyed.mapInArrow(run, schema)
 
 
+def count_tables(every: DataFrame, order: int) -> dict[int, DataFrame]:
+    """n -> w0..w(n - 1), often: how often each n-gram ends at a word.
+
+    Words travel once, as their longest n-grams. A shorter n-gram ends wherever one that
+    it is the end of does, so each table is the sum of the one above. In rows that have
+    START, w's before it are all there is: a shorter n-gram at the start of its document.
+    """
+    names = [f"w{k}" for k in range(order)]
+    tables = {order: stored(every.groupBy(*names).agg(F.count(F.lit(1)).alias("often")))}
+    for n in range(order - 1, 0, -1):
+        tables[n] = stored(tables[n + 1].groupBy(*names[:n]).agg(F.sum("often").alias("often")))
+    return tables
+
+
 def gram_scores(every: DataFrame, total: int, order: int, backoff: float, cutoff: int) -> DataFrame:
-    """gram, often, score: a row for each different n-gram of any length."""
-    counts = stored(every.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("often"), F.first("shorter").alias("shorter"), F.first("context").alias("context")))
-    table = counts.where("n = 1").select("gram", "often", (F.log(F.col("often").cast("double")) - F.log(F.lit(float(max(1, total))))).alias("score"))
-    tables = [table]
+    """gram, often, score: a row for each different longest n-gram that ends at a word."""
+    names = [f"w{k}" for k in range(order)]
+    counts = count_tables(every, order)
+    table = counts[1].select("w0", "often", (F.log(F.col("often").cast("double")) - F.log(F.lit(float(max(1, total))))).alias("score"))
     for n in range(2, order + 1):
-        own = counts.where(f"n = {n}")
-        below = tables[-1]
-        own = own.join(sorted_side(below.select(F.col("gram").alias("shorter"), F.col("score").alias("score_below"))), "shorter")
-        own = own.join(sorted_side(below.select(F.col("gram").alias("context"), F.col("often").alias("context_often"))), "context")
+        below = table.select(*names[: n - 1], F.col("score").alias("score_below"))
+        before = counts[n - 1].select(*[F.col(names[k]).alias(names[k + 1]) for k in range(n - 1)], F.col("often").alias("context_often"))
+        own = counts[n].join(sorted_side(below), names[: n - 1]).join(sorted_side(before), names[1:n], "left")
         seen = F.log(F.col("often").cast("double")) - F.log(F.col("context_often").cast("double"))
-        tables.append(stored(own.select("gram", "often", F.when(F.col("often") >= cutoff, seen).otherwise(F.lit(float(np.log(backoff))) + F.col("score_below")).alias("score"))))
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
-    return out
+        score = F.when(F.col(names[n - 1]) == START, F.col("score_below")).when(F.col("often") >= cutoff, seen).otherwise(F.lit(float(np.log(backoff))) + F.col("score_below"))
+        table = stored(own.select(*names[:n], "often", score.alias("score")))
+    return table.select(F.xxhash64(*names).alias("gram"), "often", "score")
 
 
 def scores(docs: DataFrame, text: str = "text", ident: str = "doc_id", order: int = ORDER, backoff: float = BACKOFF, cutoff: int = CUTOFF) -> DataFrame:
@@ -107,7 +119,7 @@ def scores(docs: DataFrame, text: str = "text", ident: str = "doc_id", order: in
     rows = cut(rows.groupBy("__id", "key").agg(F.first("n_words").alias("n_words"), F.count(F.lit(1)).alias("copies")))
     total = rows.agg(F.coalesce(F.sum(F.col("n_words") * F.col("copies")), F.lit(0))).first()[0]
     table = gram_scores(every, total, order, backoff, cutoff)
-    ends = every.where("longest").select("__id", "key", "gram")
+    ends = every.select("__id", "key", F.xxhash64(*[f"w{k}" for k in range(order)]).alias("gram"))
     sums = join_counted(ends, table, "gram", "often", total).groupBy("__id", "key").agg(F.sum("score").alias("total"))
     told = rows.alias("r").join(sums.alias("s"), (F.col("r.__id").eqNullSafe(F.col("s.__id"))) & (F.col("r.key") == F.col("s.key")), "left")
     told = told.select("r.__id", "n_words", (F.coalesce("total", F.lit(0.0)) / F.col("copies")).alias("log_score"), F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))

@@ -32,7 +32,7 @@ def test_agrees_with_brute_force(spark, order, backoff, cutoff):
     rng = random.Random(order)
     stock = prose(rng, 12)
     rows = [(i, " ".join(rng.choice(stock) for _ in range(rng.randint(0, 60)))) for i in range(150)]
-    rows += [(150, None), (151, ""), (152, "One"), (152, "One"), (None, "x y z"), (153, "a b " * 20_000)]
+    rows += [(150, None), (151, ""), (152, "One"), (152, "One"), (None, "x y z"), (153, "a b " * 30_000)]
     table = docs(spark, rows).withColumn("gram", F.lit(1)).withColumn("key", F.lit("x")).withColumn("score", F.lit("x"))
     got = lm_score.scores(table, order=order, backoff=backoff, cutoff=cutoff).collect()
     want = brute(rows, order, backoff, cutoff)
