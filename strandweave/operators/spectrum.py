@@ -38,15 +38,19 @@ def corrected(spectrum: DataFrame, observed: str, expected: str, name: str) -> D
     return spectrum.withColumn(name, value).withColumn(f"{name}_frac", share(F.col(name)))
 
 
-def normalise(counts: DataFrame, tally: DataFrame, genome: DataFrame, human: DataFrame | None = None) -> DataFrame:
+def normalise(counts: DataFrame, tally: DataFrame, genome: DataFrame | None = None, human: DataFrame | None = None) -> DataFrame:
     """The 96-row table of counts and corrected counts.
 
-    counts: counts96(). tally: context_tally(). genome, human: tri, n.
+    counts: counts96(). tally: context_tally(). genome, human: tri, n; without
+    them the positions called stand for the genome, and the genome for the human one.
     normcounts corrects by the genome's composition, normcounts_new by that
     of the positions called, human_normcounts by the human genome's.
     """
     contexts32 = tally.select("tri", "positions", "total_depth")
-    for name, table in (("genome_n", genome), ("human_n", human if human is not None else genome)):
+    for name, table, otherwise in (("genome_n", genome, "positions"), ("human_n", human, "genome_n")):
+        if table is None:
+            contexts32 = contexts32.withColumn(name, F.col(otherwise))
+            continue
         contexts32 = contexts32.join(table.select("tri", F.col("n").alias(name)), "tri", "left").na.fill(0, [name])
     contexts32 = contexts32.select("*", share(F.col("total_depth")).alias("freq_c"), share(F.col("genome_n")).alias("freq_g"), share(F.col("positions")).alias("freq_r"), share(F.col("human_n")).alias("freq_h"))
     table = counts.join(contexts32, "tri").withColumn("frac", share(F.col("counts")))

@@ -334,9 +334,8 @@ def spectrum_counts(spark, sf_dir):
 def spectrum_normalise(spark, sf_dir):
     """The spectrum corrected for how often each context could be seen."""
     tally = kmers.completed(kmers.tally(table(spark, sf_dir, "documents"), "text", "n_chars"), "positions").na.fill(0, ["total_depth"])
-    genome = tally.select("tri", F.col("positions").alias("n"))
     counts = spectrum.counts96(_changes(spark, sf_dir), ["l_partkey", "ref", "alt", "tri"])
-    out = spectrum.normalise(counts, tally, genome)
+    out = spectrum.normalise(counts, tally)
     return out.select("sbs96", "counts", F.round("frac", 8).alias("frac"), F.round("normcounts", 4).alias("normcounts"), F.round("normcounts_frac", 8).alias("normfrac"))
 
 
@@ -358,7 +357,7 @@ def spectrum_table(spark, sf_dir):
     """All 21 columns of the corrected spectrum."""
     tally = kmers.completed(kmers.tally(table(spark, sf_dir, "documents"), "text", "n_chars"), "positions").na.fill(0, ["total_depth"])
     counts = spectrum.counts96(_changes(spark, sf_dir), ["l_partkey", "ref", "alt", "tri"])
-    out = corrected.named(spectrum.normalise(counts, tally, tally.select("tri", F.col("positions").alias("n")), preset(spark, "GRCh38")))
+    out = corrected.named(spectrum.normalise(counts, tally, human=preset(spark, "GRCh38")))
     return out.select(*[F.round(F.col(c), _ROUNDED[c]).alias(c) if c in _ROUNDED else F.col(c) for c in corrected.COLUMNS])
 
 
