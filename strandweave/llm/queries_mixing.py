@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import cutting, mixing, packing
 from .common import table
 
 
@@ -16,7 +16,12 @@ def op5_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_poisson_mixing": op4_poisson_mixing, "op5_best_fit_packing": op5_best_fit_packing}
+def op11_concatenate_and_cut(spark, sf_dir):
+    """The stream of all documents' tokens, cut into sequences of 4096."""
+    return cutting.cut(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_poisson_mixing": op4_poisson_mixing, "op5_best_fit_packing": op5_best_fit_packing, "op11_concatenate_and_cut": op11_concatenate_and_cut}
 
 ORACLES = {
     "op4_poisson_mixing": """

@@ -13,4 +13,4 @@ def test_against_oracle(spark, name):
 
 def test_every_operator_has_a_query():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
