@@ -1,0 +1,174 @@
+"""Alignment files read by many tasks and by regions, against one reading from end to end."""
+
+import random
+import struct
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from strandweave.sources import alignments
+from strandweave.sources.alignments import AlignmentSource
+
+CONTIGS = [("a", 5_000_000), ("b", 300_000)]
+
+
+def block(data):
+    """One block of the container, by its published layout."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    return struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def bin_of(start, end):
+    """The smallest bin that holds [start, end)."""
+    for first, shift in ((4681, 14), (585, 17), (73, 20), (9, 23), (1, 26)):
+        if start >> shift == (end - 1) >> shift:
+            return first + (start >> shift)
+    return 0
+
+
+def written(path, rows, block_bytes):
+    """Writes rows (ref, pos, cigar, seq, name) in their order, and the index; the virtual offset of each row's start and end."""
+    head = b"BAM\1" + struct.pack("<i", 3) + b"@x\n" + struct.pack("<i", len(CONTIGS)) + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in CONTIGS)
+    whole, ends = head, []
+    for ref, pos, cigar, seq, name in rows:
+        packed = bytes("=ACMGRSVTWYHKDBN".index(a) << 4 | ("=ACMGRSVTWYHKDBN".index(b) if b else 0) for a, b in zip(seq[::2], [*seq[1::2], *([""] * (len(seq) % 2))], strict=True))
+        one = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, 60, 0, len(cigar), 0 if ref >= 0 else 4, len(seq), -1, -1, 0) + name.encode() + b"\0" + b"".join(struct.pack("<I", n << 4 | op) for op, n in cigar) + packed + bytes(ord(c) % 60 for c in seq) + b"zmi" + struct.pack("<i", pos)
+        ends.append(len(whole))
+        whole += struct.pack("<i", len(one)) + one
+    ends.append(len(whole))
+    out, starts = b"", []
+    for k in range(0, len(whole), block_bytes):
+        starts.append(len(out))
+        out += block(whole[k : k + block_bytes])
+    starts.append(len(out))
+    path.write_bytes(out + block(b""))
+    place = lambda at: starts[at // block_bytes] << 16 | at % block_bytes
+    bins, windows = [{} for _ in CONTIGS], [{} for _ in CONTIGS]
+    for k, (ref, pos, cigar, _, _) in enumerate(rows):
+        if ref >= 0:
+            end = pos + max(1, sum(n for op, n in cigar if op in (0, 2, 3, 7, 8)))
+            bins[ref].setdefault(bin_of(pos, end), []).append((place(ends[k]), place(ends[k + 1])))
+            for w in range(pos >> 14, (end - 1 >> 14) + 1):
+                windows[ref].setdefault(w, place(ends[k]))
+    index = b"BAI\1" + struct.pack("<i", len(CONTIGS))
+    for own, least in zip(bins, windows, strict=True):
+        index += struct.pack("<i", len(own))
+        for number, chunks in own.items():
+            joined = alignments.merged(chunks)
+            index += struct.pack("<Ii", number, len(joined)) + b"".join(struct.pack("<QQ", *c) for c in joined)
+        n = max(least, default=-1) + 1
+        index += struct.pack("<i", n) + b"".join(struct.pack("<Q", least.get(w, 0)) for w in range(n))
+    (path.parent / f"{path.name}.bai").write_bytes(index)
+
+
+@pytest.fixture(scope="module")
+def file(tmp_path_factory):
+    rng = random.Random(7)
+    rows = []
+    for ref, (_, size) in enumerate(CONTIGS):
+        for pos in sorted(rng.randrange(size - 3000) for _ in range(300)):
+            n = rng.randint(1, 1500)
+            rows.append((ref, pos, [(4, 2), (0, n), (2, rng.randint(0, 900))], "".join(rng.choices("ACGT", k=n + 2)), f"m/{len(rows)}/fwd"))
+    rows += [(-1, -1, [], "ACGT", f"u/{k}") for k in range(5)]
+    path = tmp_path_factory.mktemp("bam") / "s1.sorted.bam"
+    written(path, rows, 3000)  # several records a block, and records of several blocks
+    return str(path), rows
+
+
+def read(spark, path, **options):
+    spark.dataSource.register(AlignmentSource)
+    out = spark.read.format("alignments").option("paths", path)
+    for name, value in options.items():
+        out = out.option(name, value)
+    return out.load()
+
+
+def test_shares_of_bytes_equal_the_whole(spark, file):
+    path, rows = file
+    want = [(CONTIGS[r][0] if r >= 0 else None, p, s, n) for r, p, _, s, n in rows]
+    size = len(open(path, "rb").read())
+    for split in (size + 1, size // 4, size // 17, 700):
+        df = read(spark, path, split_bytes=split)
+        assert df.rdd.getNumPartitions() == max(1, -(-size // split))
+        assert [tuple(r) for r in df.orderBy("input_ord").select("contig", "pos", "seq", "qname").collect()] == want
+    one = df.where("qname = 'm/3/fwd'").first()
+    assert one.cigar[1].len == rows[3][2][1][1] and one.qual == [ord(c) % 60 for c in rows[3][3]] and one["sample"] == "s1" and one.zm == rows[3][1]
+
+
+def overlapping(rows, ref, start, end):
+    span = lambda c: max(1, sum(n for op, n in c if op in (0, 2, 3, 7, 8)))
+    return sorted(n for r, p, c, _, n in rows if r == ref and p < end and p + span(c) > start)
+
+
+def test_regions_by_the_index_and_without_it(spark, file, tmp_path):
+    path, rows = file
+    bare = tmp_path / "s1.bam"
+    bare.write_bytes(open(path, "rb").read())
+    for region, want in (("a:1000000-1200000", overlapping(rows, 0, 1_000_000, 1_200_000)), ("b", overlapping(rows, 1, 0, 1 << 29)), ("a:0-40000,b:100-20000", overlapping(rows, 0, 0, 40_000) + overlapping(rows, 1, 100, 20_000)), ("a:5-6", overlapping(rows, 0, 5, 6)), ("nowhere", [])):
+        for options in ({"split_bytes": 500}, {}):
+            assert sorted(r.qname for r in read(spark, path, regions=region, **options).collect()) == sorted(want)
+        assert sorted(r.qname for r in read(spark, str(bare), regions=region, split_bytes=4000).collect()) == sorted(want)
+    assert len(alignments.shares(path, {"b": [(0, 1 << 29)]}, 500)) >= 4
+
+
+def test_filters_become_regions(spark, file):
+    path, rows = file
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = read(spark, path, push_filters="true", split_bytes=2000)
+        got = df.where((F.col("contig") == "a") & (F.col("pos") >= 2_000_000) & (F.col("pos") < 2_400_000))
+        assert sorted(r.qname for r in got.collect()) == sorted(n for r, p, _, _, n in rows if r == 0 and 2_000_000 <= p < 2_400_000)
+        whole = read(spark, path, push_filters="true", split_bytes=2000)
+        assert whole.count() == len(rows) and got.rdd.getNumPartitions() < whole.rdd.getNumPartitions() / 3
+        for condition, n in (("contig in ('a', 'b')", 600), ("contig = 'a' and contig = 'b'", 0), ("pos >= 100", sum(p >= 100 for _, p, *_ in rows)), (f"contig = 'b' and pos = {rows[300][1]}", 1)):
+            assert read(spark, path, push_filters="true", split_bytes=2000).where(condition).count() == n
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+class Counted:
+    """A file that knows which of its bytes were read."""
+
+    def __init__(self, file):
+        self.file, self.places = file, set()
+
+    def size(self):
+        return self.file.size()
+
+    def read_at(self, n, at):
+        self.places.add(at)
+        return self.file.read_at(n, at)
+
+
+def test_a_region_reads_only_its_blocks(file):
+    path, rows = file
+    with alignments.opened(path) as f:
+        blocks, at = [], 0
+        while at < f.size():
+            blocks.append(at)
+            at += alignments.block_size(f.read_at(512, at))
+        counted, found = Counted(f), []
+        for share in alignments.shares(path, {"a": [(3_000_000, 3_010_000)]}, 1 << 20):
+            assert share.kind == "stretch"
+            found += [body for _, _, body in alignments.records(share, counted)]
+        assert len(found) == len(overlapping(rows, 0, 3_000_000, 3_010_000)) and len(counted.places) < len(blocks) / 10
+
+
+def test_records_are_found_where_they_begin(file):
+    path, rows = file
+    with alignments.opened(path) as f:
+        source = alignments.Cursor(f, 0)
+        lengths = [n for _, n in alignments.header(source)]
+        starts = []
+        while (place := source.here()) is not None:
+            starts.append(place)
+            source.take(struct.unpack("<i", source.take(4))[0])
+        assert len(starts) == len(rows)
+        at = alignments.block_size(f.read_at(512, 0))
+        while at < f.size():
+            later = [p for p in starts if p >> 16 >= at]
+            found = alignments.first_record(f, at, lengths)
+            assert (found and found.here()) == (later[0] if later else None)
+            at += alignments.block_size(f.read_at(512, at))
