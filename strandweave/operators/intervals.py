@@ -13,36 +13,74 @@ def checked(rows: DataFrame, start="start", end="end") -> DataFrame:
     return rows.withColumn(start, F.when(bad, F.raise_error(F.lit("bad interval"))).otherwise(F.col(start)))
 
 
-def merge(rows: DataFrame, keys: Sequence[str] = ("contig",), start="start", end="end", length: Column | None = None) -> DataFrame:
-    """Sorted, disjoint intervals: overlapping and book-ended ones become one. [s, s) counts as [s - 1, s + 1)."""
+#: Positions of a bin. A scan along a contig is a scan of each bin, and one of the short table of bins.
+BIN_WIDTH = 1 << 16
+
+
+def _in_bins(rows: DataFrame, pos: str, bin_width: int) -> DataFrame:
+    return rows.withColumn("__at", F.floor(F.col(pos) / bin_width))
+
+
+def _carried(rows: DataFrame, bins: DataFrame, by_bin: Sequence[str]) -> DataFrame:
+    """rows with what the table of bins (one row a bin) hands them; null keys are keys."""
+    named = bins.select(*[F.col(k).alias(f"__b{i}") for i, k in enumerate(by_bin)], *[c for c in bins.columns if c not in by_bin])
+    on = F.lit(True)
+    for i, k in enumerate(by_bin):
+        on = on & F.col(k).eqNullSafe(F.col(f"__b{i}"))
+    return rows.join(named, on).drop(*[f"__b{i}" for i in range(len(by_bin))])
+
+
+def merge(rows: DataFrame, keys: Sequence[str] = ("contig",), start="start", end="end", length: Column | None = None, bin_width: int = BIN_WIDTH) -> DataFrame:
+    """Sorted, disjoint intervals: overlapping and book-ended ones become one. [s, s) counts as [s - 1, s + 1).
+
+    Two levels: each bin's furthest end is carried to the bins after it, and
+    bins are merged by themselves from what they are handed. What continues
+    a block of an earlier bin then joins the last block that began before.
+    So a contig is as many tasks as it has bins, and no task sorts more than one.
+    """
     empty = F.col(start) == F.col(end)
     wide = rows.select(*keys, F.when(empty, F.col(start) - 1).otherwise(F.col(start)).alias(start), F.when(empty, F.col(end) + 1).otherwise(F.col(end)).alias(end), *([length.alias("__length")] if length is not None else []))
     if length is not None:
         wide = wide.withColumn(end, F.least(end, "__length")).drop("__length")
         wide = wide.withColumn(start, F.greatest(F.col(start), F.lit(0))).where(F.col(start) < F.col(end))
-    # rows of one start meet before the window: it sorts one row a position at most
-    wide = wide.groupBy(*keys, start).agg(F.max(end).alias(end))
-    along = Window.partitionBy(*keys).orderBy(start)
-    reach = F.max(end).over(along.rowsBetween(Window.unboundedPreceding, -1))
-    marked = wide.withColumn("__new", F.when(reach.isNull() | (F.col(start) > reach), 1).otherwise(0))
-    blocks = marked.withColumn("__block", F.sum("__new").over(along))
-    return blocks.groupBy(*keys, "__block").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("__block")
-
-
-def depth_steps(rows: DataFrame, keys: Sequence[str] = ("contig",), start="start", end="end") -> DataFrame:
-    """keys, pos, next_pos, depth: runs between breakpoints. Events of one position meet before the window."""
+    by_bin, earlier = [*keys, "__at"], Window.partitionBy(*keys).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    # rows of one start meet before the windows: a bin sorts one row a position at most
+    wide = _in_bins(wide, start, bin_width).groupBy(*by_bin, start).agg(F.max(end).alias(end))
+    reached = wide.groupBy(*by_bin).agg(F.max(end).alias("__end")).select(*by_bin, F.max("__end").over(earlier).alias("__reach"))
+    along = Window.partitionBy(*by_bin).orderBy(start)
+    own = F.max(end).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    met = _carried(wide, reached, by_bin).withColumn("__reach", F.greatest("__reach", own))
+    marked = met.withColumn("__new", F.when(F.col("__reach").isNull() | (F.col(start) > F.col("__reach")), 1).otherwise(0))
+    blocks = marked.withColumn("__block", F.sum("__new").over(along)).groupBy(*by_bin, "__block").agg(F.min(start).alias(start), F.max(end).alias(end))
+    # block 0 of a bin goes on with the last block that began in an earlier one
+    last = blocks.groupBy(*by_bin).agg(F.max(F.when(F.col("__block") > 0, F.col(start))).alias("__last")).select(*by_bin, F.max("__last").over(earlier).alias("__owner"))
+    owned = _carried(blocks, last, by_bin).withColumn(start, F.when(F.col("__block") == 0, F.col("__owner")).otherwise(F.col(start)))
+    return owned.groupBy(*keys, start).agg(F.max(end).alias(end))
+
+
+def depth_steps(rows: DataFrame, keys: Sequence[str] = ("contig",), start="start", end="end", bin_width: int = BIN_WIDTH) -> DataFrame:
+    """keys, pos, next_pos, depth: runs between breakpoints. Events of one position meet before the windows.
+
+    Two levels: the sums of bins are added up along the short table of bins, and each bin
+    is swept from the depth it begins with.
+    """
     ups = rows.select(*keys, F.col(start).alias("pos"), F.lit(1).alias("step"))
     downs = rows.select(*keys, F.col(end).alias("pos"), F.lit(-1).alias("step"))
-    steps = ups.unionByName(downs).groupBy(*keys, "pos").agg(F.sum("step").alias("step"))
-    along = Window.partitionBy(*keys).orderBy("pos")
-    return steps.select(*keys, "pos", F.lead("pos").over(along).alias("next_pos"), F.sum("step").over(along).alias("depth"))
+    by_bin = [*keys, "__at"]
+    steps = _in_bins(ups.unionByName(downs), "pos", bin_width).groupBy(*by_bin, "pos").agg(F.sum("step").alias("step"))
+    order = Window.partitionBy(*keys).orderBy("__at")
+    bins = steps.groupBy(*by_bin).agg(F.sum("step").alias("__step"), F.min("pos").alias("__first"))
+    bins = bins.select(*by_bin, F.coalesce(F.sum("__step").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"), F.lead("__first").over(order).alias("__next"))
+    along = Window.partitionBy(*by_bin).orderBy("pos")
+    swept = _carried(steps, bins, by_bin)
+    return swept.select(*keys, "pos", F.coalesce(F.lead("pos").over(along), F.col("__next")).alias("next_pos"), (F.col("__before") + F.sum("step").over(along)).alias("depth"))
 
 
-def at_least(rows: DataFrame, cap: Column, keys: Sequence[str] = ("contig",), start="start", end="end") -> DataFrame:
+def at_least(rows: DataFrame, cap: Column, keys: Sequence[str] = ("contig",), start="start", end="end", bin_width: int = BIN_WIDTH) -> DataFrame:
     """Maximal intervals whose depth reaches `cap`, a column of rows that is one value to a key."""
     caps = rows.groupBy(*keys).agg(F.max(cap).alias("__cap"))
-    high = depth_steps(rows, keys, start, end).join(caps, list(keys)).where((F.col("depth") >= F.col("__cap")) & F.col("next_pos").isNotNull())
-    return merge(high.select(*keys, F.col("pos").alias(start), F.col("next_pos").alias(end)), keys, start, end)
+    high = depth_steps(rows, keys, start, end, bin_width).join(caps, list(keys)).where((F.col("depth") >= F.col("__cap")) & F.col("next_pos").isNotNull())
+    return merge(high.select(*keys, F.col("pos").alias(start), F.col("next_pos").alias(end)), keys, start, end, bin_width=bin_width)
 
 
 def covered(start: Column, end: Column, length: Column) -> Column:
