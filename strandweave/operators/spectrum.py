@@ -17,8 +17,10 @@ def context_tally(context: DataFrame, tri: str = "tri", depth: str = "depth") ->
 
 def counts96(changes: DataFrame, key: list[str]) -> DataFrame:
     """sbs96, tri, ord, counts: distinct changes (key) by type, all 96. changes: ref, alt, tri and the key."""
-    labelled = changes.dropDuplicates(key).withColumn("sbs96", substitution(F.col("ref"), F.col("alt"), F.col("tri"))).where("sbs96 is not null")
-    counted = labelled.groupBy("sbs96").agg(F.count(F.lit(1)).alias("counts"))
+    distinct = changes.dropDuplicates(key).groupBy("ref", "alt", "tri").agg(F.count(F.lit(1)).alias("n"))
+    # '' stands for no type: a test for null would be pushed below both groupings and label every row
+    label = F.coalesce(substitution(F.col("ref"), F.col("alt"), F.col("tri")), F.lit(""))
+    counted = distinct.groupBy(label.alias("sbs96")).agg(F.sum("n").alias("counts"))
     return substitutions(changes.sparkSession).join(counted, "sbs96", "left").na.fill(0, ["counts"])
 
 

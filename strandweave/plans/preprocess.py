@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dna import ratio, round_half_even
-from ..operators import filters, intervals, walk
+from ..operators import filters, intervals, molecules, walk
 from ..operators.filters import tally
 
 
@@ -66,6 +66,41 @@ def calls(reads: DataFrame, reference: DataFrame, o: Options) -> DataFrame:
     return walk.classify_duplex(bases, o.min_bq, o.mismatch_window, o.z_share)
 
 
+def walked(reads: DataFrame, tiles: DataFrame, o: Options, size: int = molecules.TILE) -> DataFrame:
+    """All molecules, a row each: their records and runs of callable positions. tiles: `molecules.reference_tiles`.
+
+    What `calls` tells of every base, without a row a base; `context_of` and `changes_of` go on from here.
+    """
+    kept = filtered(reads, o).where("reason is null").drop("reason")
+    rules = molecules.Rules(o.min_bq, o.mismatch_window, o.quality_window, o.z_share, o.trim, o.indel_pad)
+    return molecules.walked(kept, tiles, rules, o.collapsed, size)
+
+
+def context_of(walked: DataFrame, tiles: DataFrame, masked: DataFrame, o: Options, size: int = molecules.TILE) -> DataFrame:
+    """`context` from molecules: depths are swept over runs, which become positions at the very end."""
+    deep = molecules.depth_runs(walked).where(F.col("depth") >= o.min_depth)
+    told = molecules.with_contexts(deep, tiles, size).where("instr(tri, 'N') = 0")
+    return intervals.unmasked(told, masked, ["sample", "contig"]).select("sample", "contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), "tri", "depth")
+
+
+def changes_of(walked: DataFrame, masked: DataFrame, o: Options) -> DataFrame:
+    """`changes` from molecules: a record's depth is that of the run it lies in."""
+    records = _with_strands(molecules.records(walked), o)
+    spans = molecules.depth_runs(walked).select("sample", "contig", F.col("start").alias("__from"), F.col("end").alias("__to"), "depth")
+    deep = intervals.range_join(records, spans, ["sample", "contig"], "pos", "__from", "__to").drop("__from", "__to").where(F.col("depth") >= o.min_depth)
+    if o.min_depth <= 0:
+        nowhere = intervals.range_join(records, spans, ["sample", "contig"], "pos", "__from", "__to", how="left_anti")
+        deep = deep.unionByName(nowhere.withColumn("depth", F.lit(0)))
+    return intervals.unmasked(deep.withColumnRenamed("start", "read_start").withColumnRenamed("end", "read_end") if o.collapsed else deep, masked, ["sample", "contig"])
+
+
+def callable_bases(called: DataFrame, by: list[str]) -> DataFrame:
+    """by, callable_bps: of classified positions, or of molecules."""
+    if "n_callable" in called.columns:
+        return called.groupBy(*by).agg(F.sum("n_callable").alias("callable_bps")).where("callable_bps > 0")
+    return called.where("callable").groupBy(*by).agg(F.count(F.lit(1)).alias("callable_bps"))
+
+
 def mask(reads: DataFrame, contigs: DataFrame, low_complexity: DataFrame | None, o: Options) -> DataFrame:
     """sample, contig, start, end: low-complexity intervals and those of too high coverage, merged."""
     high = high_coverage(reads, contigs, o)
@@ -82,19 +117,24 @@ def context(called: DataFrame, reference: DataFrame, masked: DataFrame, o: Optio
     return intervals.unmasked(told, masked, ["sample", "contig"]).select("sample", "contig", F.col("pos").alias("start"), (F.col("pos") + 1).alias("end"), "tri", "depth")
 
 
+def _with_strands(records: DataFrame, o: Options) -> DataFrame:
+    """records with alt and what the strands say."""
+    alt = F.col("base") if o.collapsed else F.when(F.col("base_1") != F.col("ref"), F.col("base_1")).otherwise(F.col("base_2"))
+    strands = {"strand_1": walk.strand_call(), "strand_2": F.lit(None).cast("string")} if o.collapsed else {f"strand_{k}": walk.strand_call(f"_{k}") for k in (1, 2)}
+    return records.withColumns({"alt": alt, **strands})
+
+
 def changes(called: DataFrame, masked: DataFrame, o: Options) -> DataFrame:
     """The records (kinds x, m, z) deep enough and unmasked, with alt, depth and what the strands say (strand_1, strand_2)."""
     depths = walk.depth(called)
-    alt = F.col("base") if o.collapsed else F.when(F.col("base_1") != F.col("ref"), F.col("base_1")).otherwise(F.col("base_2"))
-    strands = {"strand_1": walk.strand_call(), "strand_2": F.lit(None).cast("string")} if o.collapsed else {f"strand_{k}": walk.strand_call(f"_{k}") for k in (1, 2)}
-    records = called.where("kind is not null").withColumns({"alt": alt, **strands})
+    records = _with_strands(called.where("kind is not null"), o)
     deep = records.join(depths, ["sample", "contig", "pos"], "left").withColumn("depth", F.coalesce("depth", F.lit(0))).where(F.col("depth") >= o.min_depth)
     return intervals.unmasked(deep.withColumnRenamed("start", "read_start").withColumnRenamed("end", "read_end") if o.collapsed else deep, masked, ["sample", "contig"])
 
 
 def coverage_report(called: DataFrame, contigs: DataFrame, raw: DataFrame) -> DataFrame:
     """sample, contig, length, callable_bps, duplex_coverage, raw_coverage, max_depth."""
-    sums = called.where("callable").groupBy("sample", "contig").agg(F.count(F.lit(1)).alias("callable_bps"))
+    sums = callable_bases(called, ["sample", "contig"])
     every = raw.select("sample", "contig", "length", "raw_coverage", "max_depth").join(sums, ["sample", "contig"], "left").na.fill(0, ["callable_bps"])
     return every.withColumn("duplex_coverage", round_half_even(F.col("callable_bps") / F.col("length"), 2))
 
@@ -106,8 +146,6 @@ def lacking_a_strand(reads: DataFrame, o: Options) -> DataFrame:
     return unpaired(filtered(reads, o).where("reason is null").withColumn("strand", strand(F.col("qname"))), ["sample", "contig", "zm"], "strand")
 
 
-
-
 #: Counters of a report by the reason of the read filter.
 DISCARDED = {
     "disc_no_primary": "not_primary",
@@ -138,7 +176,7 @@ def metrics(reads: DataFrame, called: DataFrame, contigs: DataFrame, o: Options)
         keys, sided = ["sample", "contig", "zm"], left.select("sample", "contig", "zm", "input_ord", strand(F.col("qname")).alias("strand"))
         pairs = in_order(sided, keys, "strand", "input_ord").where("strand = 'fwd'").groupBy("sample").agg(F.count(F.lit(1)).alias("num_zmw"))
         molecules = pairs.join(still_waiting(sided, keys, "strand", "input_ord").groupBy("sample").agg(F.count(F.lit(1)).alias("disc_lack_compl")), "sample", "full")
-    bases = called.where("callable").groupBy("sample").agg(F.count(F.lit(1)).alias("callable_bps"))
+    bases = callable_bases(called, ["sample"])
     length = contigs.agg(F.sum("length").cast("long").alias("total_length_ref"))  # one row
     out = told.join(molecules, "sample", "left").join(bases, "sample", "left").na.fill(0, ["num_zmw", "disc_lack_compl", "callable_bps"]).crossJoin(F.broadcast(length))
     out = out.withColumn("num_discarded", F.col("failed") + F.col("disc_lack_compl")).withColumn("coverage", round_half_even(ratio(F.col("callable_bps"), F.col("total_length_ref")), 2))

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CONTEXT_SCHEMA = "contig string, start long, end long, tri string, depth long"
@@ -15,10 +16,15 @@ SHARED_COLUMNS = [*CHANGE_COLUMNS, "shared", "annotation", "counts"]
 
 def _lines(spark: SparkSession, path) -> DataFrame:
     """Data lines of plain or gzipped text, without comments and track lines; \\r\\n is fine."""
-    text = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("line"), F.col("_metadata.file_path").alias("path"))
+    text = spark.read.text(path).select(F.regexp_replace("value", "\r$", "").alias("line"), _decoded("_metadata.file_path").alias("path"))
     return text.where("length(line) > 0 and not line rlike '^(#|track|browser)'")
 
 
+def _decoded(path: str):
+    """A file's path as it is named; Spark tells it as part of a URL, where a blank is %20 and a plus sign itself."""
+    return F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+
+
 def _whole(field, what: str):
     """A field of digits only as a long; anything else is an error."""
     return F.when(field.rlike("^[0-9]{1,18}$"), field.cast("long")).otherwise(F.raise_error(F.concat(F.lit(f"bad {what}: "), F.coalesce(field, F.lit("null")))).cast("long"))
@@ -30,8 +36,14 @@ def sample_of(path):
 
 
 def intervals(spark: SparkSession, path, contigs: list[str] | None = None) -> DataFrame:
-    """contig, start, end of an interval file. Fewer than 3 fields, and starts after ends, are errors."""
-    parts = _lines(spark, path).select(F.split("line", "\t").alias("p"), "line")
+    """contig, start, end of an interval file. Fewer than 3 fields, and starts after ends, are errors; a file that isn't there has no intervals."""
+    try:
+        lines = _lines(spark, path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "contig string, start long, end long")
+    parts = lines.select(F.split("line", "\t").alias("p"), "line")
     short = F.when(F.size("p") < 3, F.raise_error(F.concat(F.lit("fewer than 3 fields: "), "line")).cast("string")).otherwise(F.get("p", F.lit(0)))
     rows = parts.select(short.alias("contig"), _whole(F.get("p", F.lit(1)), "start").alias("start"), _whole(F.get("p", F.lit(2)), "end").alias("end"))
     rows = rows.withColumn("end", F.when(F.col("end") >= F.col("start"), F.col("end")).otherwise(F.raise_error(F.lit("interval ends before it starts")).cast("long")))
@@ -127,7 +139,7 @@ def spectra(spark: SparkSession, paths, column: str = "normcounts") -> DataFrame
     """sample, sbs96, value: one column of spectrum tables with a header. Missing types and values are errors."""
     from ..functions.dna import substitutions
 
-    rows = spark.read.csv(paths, sep="\t", header=True, comment="#").select(sample_of(F.col("_metadata.file_path")).alias("sample"), "sbs96", F.col(column).cast("double").alias("value"))
+    rows = spark.read.csv(paths, sep="\t", header=True, comment="#").select(sample_of(_decoded("_metadata.file_path")).alias("sample"), "sbs96", F.col(column).cast("double").alias("value"))
     whole = rows.select("sample").distinct().crossJoin(F.broadcast(substitutions(spark).select("sbs96", "fit_ord")))  # 96 rows
     once = rows.groupBy("sample", "sbs96").agg(F.count(F.lit(1)).alias("n"), F.first("value").alias("value"))
     joined = whole.join(once, ["sample", "sbs96"], "left")
