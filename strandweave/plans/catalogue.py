@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import dna, stats
 from ..functions.genomes import PRESETS, preset
-from ..operators import annotate, attribution, band, filters, intervals, kmers, pairing, setops, spectrum
+from ..operators import annotate, attribution, band, bitmaps, filters, intervals, kmers, molecules, pairing, pileup, setops, spectrum
+from ..session import durable
 from . import corrected
 
 QUERIES: dict = {}
@@ -117,10 +118,13 @@ def _spans(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", first.alias("start"), (first + F.col("l_quantity").cast("long")).alias("end"))
 
 
+#: Days of a bin of the two-level scans.
+DAYS = 64
 _SPANS = f"spans AS (SELECT l_suppkey, l_partkey, {_DAY} AS s, {_DAY} + l_quantity::BIGINT AS e FROM lineitem)"
 _ISLANDS = """
-    reach AS (SELECT *, max(e) OVER (PARTITION BY l_suppkey ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM {source}),
-    flags AS (SELECT *, sum(CASE WHEN r IS NULL OR s > r THEN 1 ELSE 0 END) OVER (PARTITION BY l_suppkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS g FROM reach),
+    once AS (SELECT l_suppkey, s, max(e) AS e FROM {source} GROUP BY l_suppkey, s),
+    reach AS (SELECT *, max(e) OVER (PARTITION BY l_suppkey ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM once),
+    flags AS (SELECT *, sum(CASE WHEN r IS NULL OR s > r THEN 1 ELSE 0 END) OVER (PARTITION BY l_suppkey ORDER BY s ROWS UNBOUNDED PRECEDING) AS g FROM reach),
     merged AS (SELECT l_suppkey, min(s) AS "start", max(e) AS "end" FROM flags GROUP BY l_suppkey, g)"""
 
 
@@ -129,7 +133,7 @@ _ISLANDS = """
     SELECT l_suppkey, "start", "end" FROM merged""")
 def merge_intervals(spark, sf_dir):
     """Overlapping and book-ended intervals made one, by supplier, of every fiftieth part."""
-    return intervals.merge(_spans(spark, sf_dir).where("l_partkey % 50 = 0"), ["l_suppkey"])
+    return intervals.merge(_spans(spark, sf_dir).where("l_partkey % 50 = 0"), ["l_suppkey"], bin_width=DAYS)
 
 
 @query(f"""
@@ -140,7 +144,7 @@ def merge_intervals(spark, sf_dir):
            sum(step) OVER (PARTITION BY l_suppkey ORDER BY pos)::BIGINT AS depth FROM summed""")
 def depth_sweep(spark, sf_dir):
     """Depth between all breakpoints, by supplier."""
-    return intervals.depth_steps(_spans(spark, sf_dir), ["l_suppkey"])
+    return intervals.depth_steps(_spans(spark, sf_dir), ["l_suppkey"], bin_width=DAYS)
 
 
 @query(f"""
@@ -157,7 +161,7 @@ def highcov_intervals(spark, sf_dir):
     spans = _spans(spark, sf_dir)
     mean = F.round(F.sum(F.col("end") - F.col("start")) / F.lit(2600.0), 2)
     caps = spans.groupBy("l_suppkey").agg(intervals.depth_cap(mean, 1).alias("cap"))
-    return intervals.at_least(spans.join(caps, "l_suppkey"), F.col("cap"), ["l_suppkey"])
+    return intervals.at_least(spans.join(caps, "l_suppkey"), F.col("cap"), ["l_suppkey"], bin_width=DAYS)
 
 
 @query(f"""
@@ -167,7 +171,7 @@ def highcov_intervals(spark, sf_dir):
 def mask_anti_join(spark, sf_dir):
     """Positions outside the merged mask."""
     spans = _spans(spark, sf_dir)
-    mask = intervals.merge(spans.where("l_partkey % 50 = 0"), ["l_suppkey"])
+    mask = intervals.merge(spans.where("l_partkey % 50 = 0"), ["l_suppkey"], bin_width=DAYS)
     return intervals.unmasked(spans.select("l_suppkey", "l_partkey", F.col("start").alias("pos")), mask, ["l_suppkey"], bin_width=64)
 
 
@@ -184,7 +188,7 @@ _SHORT = f"short AS (SELECT l_suppkey, l_partkey, s, s + 1 + (e - s) // 25 AS e,
     SELECT l_suppkey, "start", "end" FROM merged""")
 def merge_intervals_whole(spark, sf_dir):
     """Overlapping and book-ended intervals made one, by supplier, of all rows."""
-    return intervals.merge(_short_spans(spark, sf_dir), ["l_suppkey"])
+    return intervals.merge(_short_spans(spark, sf_dir), ["l_suppkey"], bin_width=DAYS)
 
 
 @query(f"""
@@ -194,7 +198,7 @@ def merge_intervals_whole(spark, sf_dir):
 def mask_anti_join_whole(spark, sf_dir):
     """Positions of all rows outside the merged mask of all rows."""
     spans = _short_spans(spark, sf_dir)
-    return intervals.unmasked(spans.select("l_suppkey", "l_partkey", F.col("stop").alias("pos")), intervals.merge(spans, ["l_suppkey"]), ["l_suppkey"], bin_width=64)
+    return intervals.unmasked(spans.select("l_suppkey", "l_partkey", F.col("stop").alias("pos")), intervals.merge(spans, ["l_suppkey"], bin_width=DAYS), ["l_suppkey"], bin_width=64)
 
 
 @query("""
@@ -474,3 +478,93 @@ def group_size_back(spark, sf_dir):
     """A group's size on each of its rows."""
     rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("sample"), F.col("l_linestatus").alias("base")).agg(F.count(F.lit(1)).alias("n"))
     return rows.withColumn("kinds", F.count(F.lit(1)).over(Window.partitionBy("sample")))
+
+
+@query("""
+    WITH held AS (SELECT l_suppkey, l_partkey FROM lineitem GROUP BY 1, 2 HAVING count(DISTINCT l_returnflag) = (SELECT count(DISTINCT l_returnflag) FROM lineitem))
+    SELECT l_suppkey, l_partkey, count(*) AS n, sum(l_linenumber)::BIGINT AS total FROM lineitem JOIN held USING (l_suppkey, l_partkey) GROUP BY 1, 2""")
+def shared_positions(spark, sf_dir):
+    """Positions that all samples hold, told by bitmap pages, and sums over their rows."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_suppkey", "l_partkey", "l_linenumber")
+    found = bitmaps.shared_positions(rows, "l_returnflag", ["l_suppkey"], "l_partkey")
+    held = bitmaps.holding(rows, found, ["l_suppkey"], "l_partkey")
+    return held.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("total"))
+
+
+# Reads made of orders: a molecule an order, 40 bases on one of 5 contigs of 4,000. Its forward
+# read is 40M, its reverse one 20M 2D 18M; keys decide where strands differ from the reference.
+CONTIGS, CONTIG_BASES, READ_BASES = 5, 4000, 40
+_BASE_SQL = "(({p}) * ({p}) + 3 * ({p}) * ({k}) + ({p}) // 7) % 4"
+_CHANGED_SQL = "CASE WHEN (o_orderkey * 3 + ({p})) % 61 = 0 THEN 2 WHEN (o_orderkey * {mul} + ({p}) * 13 + ({p}) * ({p})) % 53 = 0 THEN 1 ELSE 0 END"
+_QUALITY_SQL = "CASE WHEN (o_orderkey + {s} * ({p})) % 29 = 0 THEN 50 ELSE 93 END"
+
+
+def genome(spark) -> DataFrame:
+    """contig, seq of the contigs that the reads lie on."""
+    base = F.expr(f"substring('ACGT', cast({_BASE_SQL.format(p='p', k='k').replace('//', 'div')} + 1 as int), 1)")
+    rows = spark.range(CONTIGS).select(F.col("id").alias("k"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CONTIG_BASES - 1).cast("long"))).alias("p")).select("k", "p", base.alias("b"))
+    listed = F.sort_array(F.collect_list(F.struct("p", "b")))  # one contig
+    return rows.groupBy("k").agg(F.array_join(F.transform(listed, lambda x: x["b"]), "").alias("seq")).select(F.concat(F.lit("c"), F.col("k")).alias("contig"), "seq")
+
+
+def order_reads(spark, sf_dir) -> DataFrame:
+    """Two reads of every order."""
+    place = (F.col("o_orderkey") * 7) % (CONTIG_BASES - READ_BASES)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % CONTIGS).alias("k"), place.alias("start"))
+    sides = []
+    for side, s, mul, cigar, offsets in (("fwd", 1, 5, [(0, 40)], range(40)), ("rev", 2, 11, [(0, 20), (2, 2), (0, 18)], [*range(20), *range(22, 40)])):
+        at = F.array(*[(F.col("start") + o) for o in offsets])
+        base = f"(({_BASE_SQL}) + ({_CHANGED_SQL})) % 4".format(p="p", k="k", mul=mul).replace("//", "div")
+        seq = F.array_join(F.expr(f"transform(__at, p -> substring('ACGT', cast({base} + 1 as int), 1))"), "")
+        qual = F.expr(f"transform(__at, p -> cast({_QUALITY_SQL.format(p='p', s=s)} as int))")
+        ops = F.array(*[F.struct(F.lit(o).alias("op"), F.lit(n).alias("len")) for o, n in cigar])
+        row = orders.withColumn("__at", at).select(
+            F.lit("s").alias("sample"), F.concat(F.lit("c"), F.col("k")).alias("contig"), F.col("start").cast("int").alias("pos"), F.lit(0).alias("flag"), F.lit(60).alias("mapq"), ops.alias("cigar"), seq.alias("seq"),
+            qual.alias("qual"), F.concat(F.lit("m/"), F.col("o_orderkey"), F.lit(f"/{side}")).alias("qname"), F.lit(1).alias("nm"), F.lit(20.0).alias("ec"), F.col("o_orderkey").alias("zm"), (F.col("o_orderkey") * 2 + s).alias("input_ord"),
+        )
+        sides.append(row)
+    return sides[0].unionByName(sides[1])
+
+
+_WALK = f"""
+    reads AS (SELECT o_orderkey, o_custkey % {CONTIGS} AS k, (o_orderkey * 7) % {CONTIG_BASES - READ_BASES} AS start FROM orders),
+    spread AS (SELECT *, start + o AS p FROM (SELECT *, unnest(range(0, {READ_BASES})) AS o FROM reads)),
+    bases AS (
+        SELECT *, {_BASE_SQL.format(p='p', k='k')} AS ref, {_CHANGED_SQL.format(p='p', mul=5)} AS d1, {_CHANGED_SQL.format(p='p', mul=11)} AS d2,
+               {_QUALITY_SQL.format(p='p', s=1)} AS raw1, {_QUALITY_SQL.format(p='p', s=2)} AS raw2, o AS q1, CASE WHEN o < 20 THEN o WHEN o >= 22 THEN o - 2 END AS q2 FROM spread)"""
+
+
+@query(f"""
+    WITH {_WALK},
+    met AS (
+        SELECT *, CASE WHEN q1 < 3 OR q1 >= 37 THEN 0 ELSE raw1 END AS bq1, CASE WHEN q2 < 3 OR q2 >= 35 OR q2 BETWEEN 18 AND 22 THEN 0 ELSE raw2 END AS bq2 FROM bases WHERE q2 IS NOT NULL),
+    kinds AS (SELECT *, least(bq1, bq2) >= 93 AS good, CASE WHEN least(bq1, bq2) < 93 THEN NULL WHEN (d1 = 0) <> (d2 = 0) THEN 'm' WHEN d1 > 0 AND d1 = d2 THEN 'x' END AS kind FROM met),
+    near AS (SELECT *, count(*) FILTER (kind = 'm') OVER (PARTITION BY o_orderkey ORDER BY p RANGE BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS n_mis FROM kinds)
+    SELECT 'c' || k AS contig, p AS pos, substr('ACGT', (any_value(ref) + 1)::INT, 1) AS ref, count(*) FILTER (n_mis = 0 AND (kind = 'x' OR (good AND d1 = 0 AND d2 = 0))) AS depth,
+           count(*) FILTER (kind = 'x') AS n_x, count(*) FILTER (kind = 'm') AS n_m, coalesce(sum(n_mis) FILTER (kind = 'x'), 0)::BIGINT AS x_near
+    FROM near GROUP BY k, p HAVING count(*) FILTER (kind IS NOT NULL) > 0""")
+def molecule_walk(spark, sf_dir):
+    """Molecules walked as arrays: records by position with the depth of callable molecules there."""
+    tiles = molecules.reference_tiles(genome(spark), 512)
+    found = durable(molecules.walked(order_reads(spark, sf_dir), tiles, molecules.Rules(mismatch_window=4, quality_window=5, trim=3, indel_pad=2), size=512))
+    records = molecules.records(found).groupBy("sample", "contig", "pos", "ref").agg(
+        F.count_if(F.col("kind") == "x").alias("n_x"), F.count_if(F.col("kind") == "m").alias("n_m"), F.coalesce(F.sum(F.when(F.col("kind") == "x", F.col("n_mis"))), F.lit(0)).alias("x_near")
+    )
+    runs = molecules.depth_runs(found, 512)
+    spans = runs.select("sample", "contig", F.col("start").alias("a"), F.col("end").alias("b"), F.col("depth").cast("long").alias("depth"))
+    deep = intervals.range_join(records.select("sample", "contig", "pos"), spans, ["sample", "contig"], "pos", "a", "b", 512)
+    return records.join(deep, ["sample", "contig", "pos"], "left").select("contig", F.col("pos").cast("long").alias("pos"), "ref", F.coalesce("depth", F.lit(0)).alias("depth"), "n_x", "n_m", "x_near")
+
+
+@query(f"""
+    WITH {_WALK},
+    seen AS (SELECT k, p, ref, d1 AS d, raw1 AS bq FROM bases UNION ALL SELECT k, p, ref, d2, raw2 FROM bases WHERE q2 IS NOT NULL)
+    SELECT 'c' || k AS contig, p AS pos, {", ".join(f"count(*) FILTER ((ref + d) % 4 = {i}) AS {b}" for i, b in enumerate("ACGT"))}
+    FROM seen WHERE bq >= 70 AND p % CASE WHEN k % 2 = 0 THEN 3 ELSE 97 END = 0 GROUP BY k, p""")
+def allele_pileup(spark, sf_dir):
+    """Alleles at sites of all reads: contigs with many sites are counted into arrays, the others site by site."""
+    step = F.when(F.col("k") % 2 == 0, 3).otherwise(97)
+    sites = spark.range(CONTIGS).select(F.col("id").alias("k"), F.explode(F.sequence(F.lit(0), F.lit(CONTIG_BASES - 1))).alias("pos")).where(F.col("pos") % step == 0)
+    sites = sites.select(F.lit("s").alias("sample"), F.concat(F.lit("c"), F.col("k")).alias("contig"), "pos")
+    counts = pileup.count_alleles(order_reads(spark, sf_dir), sites, bin_width=1024)
+    return counts.select("contig", F.col("pos").cast("long").alias("pos"), *dna.BASES)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.dna import ratio, round_half_even
 from ..operators import filters, intervals, molecules, walk
 from ..operators.filters import tally
+from ..operators.setops import ranked
 
 
 @dataclass(frozen=True)
@@ -69,7 +70,8 @@ def calls(reads: DataFrame, reference: DataFrame, o: Options) -> DataFrame:
 def walked(reads: DataFrame, tiles: DataFrame, o: Options, size: int = molecules.TILE) -> DataFrame:
     """All molecules, a row each: their records and runs of callable positions. tiles: `molecules.reference_tiles`.
 
-    What `calls` tells of every base, without a row a base; `context_of` and `changes_of` go on from here.
+    What `calls` tells of every base, without a row a base; `context_of`, `changes_of`, `coverage_report`
+    and `metrics` all go on from here, so the result is best kept (`session.durable`, or written).
     """
     kept = filtered(reads, o).where("reason is null").drop("reason")
     rules = molecules.Rules(o.min_bq, o.mismatch_window, o.quality_window, o.z_share, o.trim, o.indel_pad)
@@ -101,6 +103,11 @@ def callable_bases(called: DataFrame, by: list[str]) -> DataFrame:
     return called.where("callable").groupBy(*by).agg(F.count(F.lit(1)).alias("callable_bps"))
 
 
+def ordered_high_coverage(high: DataFrame, header: DataFrame) -> DataFrame:
+    """Rows of high_coverage in the order of the alignments' header (contig, idx), then by start; contigs the header lacks come last."""
+    return ranked(high, header).orderBy("sample", "contig_rank", "start").select("sample", "contig", "start", "end")
+
+
 def mask(reads: DataFrame, contigs: DataFrame, low_complexity: DataFrame | None, o: Options) -> DataFrame:
     """sample, contig, start, end: low-complexity intervals and those of too high coverage, merged."""
     high = high_coverage(reads, contigs, o)

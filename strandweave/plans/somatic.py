@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dna import ratio
 from ..functions.stats import poisson_interval
-from ..operators import annotate, pileup, setops
+from ..operators import annotate, bitmaps, pileup, setops
+
+
+def shared_space(context: DataFrame) -> DataFrame:
+    """contig, page, bits: the positions that all samples can call, as bitmap pages."""
+    return bitmaps.shared_positions(context, "sample", ["contig"], "start")
 
 
 def shared_context(context: DataFrame) -> DataFrame:
     """Context rows at positions that all samples can call."""
-    space = setops.shared_space(context, "sample", ["contig", "start"])
-    return setops.in_space(context, space, ["contig", "start"])
+    return bitmaps.holding(context, shared_space(context), ["contig"], "start")
 
 
 def annotated(changes: DataFrame, context: DataFrame, threshold: int = 1, most: int = 5, min_alt_support: int = 1, collapsed: bool = False) -> DataFrame:
@@ -23,8 +27,7 @@ def annotated(changes: DataFrame, context: DataFrame, threshold: int = 1, most:
     """
     keys = annotate.somatic_keys(changes)
     holders = setops.samples_holding(keys, "sample", ["contig", "pos", "alt"])
-    space = setops.shared_space(context, "sample", ["contig", "start"]).select("contig", F.col("start").alias("pos"))
-    rows = setops.in_space(changes, space, ["contig", "pos"])
+    rows = bitmaps.holding(changes, shared_space(context), ["contig"])
     if collapsed:
         rows = annotate.supported_alone(rows, ["sample", "contig", "pos", "alt"], min_alt_support)
     rows = setops.shared_with_others(rows, holders, keys, "sample", ["contig", "pos", "alt"])

@@ -3,8 +3,23 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """df as a checkpoint in the folder that the cluster names in spark.checkpoint.dir, for results that several steps read.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
 
 
 def local_session(app: str = "strandweave", cpus: int | None = None, shuffle_partitions: int | None = None) -> SparkSession:

@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 SCHEMA = "sample string, contig string, pos int, flag int, mapq int, cigar array<struct<op:int,len:int>>, seq string, qual array<int>, qname string, nm int, ec double, zm bigint, sm array<int>, input_ord bigint"
@@ -292,6 +293,14 @@ def merged(stretches: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def header_contigs(spark: SparkSession, path: str) -> DataFrame:
+    """contig, length, idx of the reference sequences that a file's header names, in its order (as many rows as sequences)."""
+    with opened(path) as file:
+        source = Stream(file) if block_size(file.read_at(512, 0)) is None else Cursor(file, 0)
+        rows = [(name, length, k) for k, (name, length) in enumerate(header(source))]
+    return spark.createDataFrame(rows, "contig string, length long, idx int")
+
+
 # Data source
 
 

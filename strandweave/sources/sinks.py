@@ -28,6 +28,14 @@ def as_text(rows: DataFrame, path: str, columns: list[str], order: list[str]) ->
     rows.orderBy(*order).select(line.alias("value")).write.text(path, compression="gzip")
 
 
+def as_text_unless_empty(rows: DataFrame, path: str, columns: list[str], order: list[str]) -> bool:
+    """as_text, but nothing at all is written of an empty table; whether something was."""
+    if rows.isEmpty():
+        return False
+    as_text(rows, path, columns, order)
+    return True
+
+
 def as_headed_text(rows: DataFrame, path: str, header: list[str], columns: list[str], order: list[str]) -> None:
     """The same with lines of a header before all rows."""
     line = F.concat_ws("\t", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns])
