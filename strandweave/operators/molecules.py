@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import intervals
-from .filters import EQ, I, D, M, X, cigar_total, identity
+from .filters import D, I, cigar_total, identity
 from .pairing import in_order, strand
 from .walk import BLOCK_OPS, QUERY_OPS, REFERENCE_OPS
 
@@ -36,26 +36,28 @@ N = ord("N")
 # Arrays of one read
 
 
-def is_one_of(op: np.ndarray, ops: tuple[int, ...]) -> np.ndarray:
-    return np.isin(op, ops)
+def _table(ops: tuple[int, ...]) -> np.ndarray:
+    """Whether each operation is one of ops."""
+    return np.isin(np.arange(16), ops)
+
+
+_REFERENCE, _QUERY, _BLOCK, _INDEL = _table(REFERENCE_OPS), _table(QUERY_OPS), _table(BLOCK_OPS), _table((I, D))
 
 
 def placed(op: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each operation's offset on the reference and in the query."""
-    out = []
-    for ops in (REFERENCE_OPS, QUERY_OPS):
-        taken = np.where(is_one_of(op, ops), length, 0)
-        out.append(np.cumsum(taken) - taken)
-    return out[0], out[1]
+    r, q = length * _REFERENCE[op], length * _QUERY[op]
+    return np.cumsum(r) - r, np.cumsum(q) - q
 
 
 def aligned(op: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Offset on the reference and in the query of every aligned base, in order."""
     r, q = placed(op, length)
-    block = is_one_of(op, BLOCK_OPS) & (length > 0)
+    block = np.flatnonzero(_BLOCK[op] & (length > 0))
     n = length[block]
-    k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return np.repeat(r[block], n) + k, np.repeat(q[block], n) + k
+    before = np.cumsum(n) - n
+    k = np.arange(n.sum())
+    return k + np.repeat(r[block] - before, n), k + np.repeat(q[block] - before, n)
 
 
 def trimmed(n: int, trim: float) -> int:
@@ -73,7 +75,7 @@ def masked(qual: np.ndarray, op: np.ndarray, length: np.ndarray, trim: float, in
     if n:
         out[:n] = 0
         out[max(0, size - n) :] = 0
-    indel = is_one_of(op, (I, D))
+    indel = _INDEL[op]
     if indel.any():
         q = placed(op, length)[1][indel]
         steps = np.zeros(size + 1, np.int64)
@@ -117,16 +119,33 @@ class Read:
         }
 
 
-def read_of(batch: pa.RecordBatch, row: int, suffix: str, trim: float, indel_pad: int) -> Read:
-    """A row's read. Without qualities they are all 0."""
-    value = lambda name: batch.column(f"{name}{suffix}")[row]
-    numbers = lambda name: value(name).values.to_numpy(zero_copy_only=False).astype(np.int64)
-    op, length, start = numbers("op"), numbers("len"), value("pos").as_py()
-    seq = np.frombuffer((value("seq").as_py() or "").encode(), np.uint8)
-    qual = numbers("qual") if value("qual").is_valid else np.zeros(len(seq), np.int64)
-    ref, qpos = aligned(op, length)
-    sm = value("sm").values if value("sm").is_valid else None
-    return Read(start, value("end").as_py(), seq, masked(qual, op, length, trim, indel_pad), ref + start, qpos, sm, value("sim").as_py(), value("ec").as_py())
+class Reads:
+    """One side's reads of a batch: list columns as arrays with bounds, so that a row's are slices."""
+
+    def __init__(self, batch: pa.RecordBatch, suffix: str):
+        column = lambda name: batch.column(f"{name}{suffix}")
+        self.lists = {name: self._cut(column(name)) for name in ("op", "len", "qual")}
+        self.seqs, self.sm = column("seq"), column("sm")
+        self.start, self.end, self.sim, self.ec = (column(name).to_pylist() for name in ("pos", "end", "sim", "ec"))
+        self.rated = column("qual").is_valid().to_pylist()
+
+    @staticmethod
+    def _cut(column: pa.ListArray) -> tuple[list[int], np.ndarray]:
+        ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        return [0, *ends.tolist()], column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def _of(self, name: str, row: int) -> np.ndarray:
+        bounds, values = self.lists[name]
+        return values[bounds[row] : bounds[row + 1]]
+
+    def read(self, row: int, trim: float, indel_pad: int) -> Read:
+        """A row's read, laid out. Without qualities they are all 0."""
+        op, length = self._of("op", row), self._of("len", row)
+        seq = np.frombuffer((self.seqs[row].as_py() or "").encode(), np.uint8)
+        qual = self._of("qual", row) if self.rated[row] else np.zeros(len(seq), np.int64)
+        ref, qpos = aligned(op, length)
+        sm = self.sm[row].values if self.sm[row].is_valid else None
+        return Read(self.start[row], self.end[row], seq, masked(qual, op, length, trim, indel_pad), ref + self.start[row], qpos, sm, self.sim[row], self.ec[row])
 
 
 def picked(seed: int, pos: np.ndarray, share: int) -> np.ndarray:
@@ -186,7 +205,7 @@ class Stretch:
 def duplex(one: Read, two: Read, below: Stretch, rules: Rules, seed: int) -> tuple[np.ndarray, dict, np.ndarray]:
     """(callable positions, records by column, the lesser qualities where both strands match the reference)."""
     place = np.searchsorted(two.ref, one.ref)
-    met = (place < len(two.ref)) & (two.ref[np.minimum(place, max(0, len(two.ref) - 1))] == one.ref) if len(two.ref) else np.zeros(len(one.ref), bool)
+    met = np.append(two.ref, -1)[place] == one.ref
     pos, q1, q2 = one.ref[met], one.qpos[met], two.qpos[place[met]]
     known = below.inside(pos)
     pos, q1, q2 = pos[known], q1[known], q2[known]
@@ -198,6 +217,8 @@ def duplex(one: Read, two: Read, below: Stretch, rules: Rules, seed: int) -> tup
     near = np.searchsorted(at, pos + w, "right") - np.searchsorted(at, pos - w, "left") if w >= 0 else np.zeros(len(pos), np.int64)
     callable_ = (same | agreed) & (near == 0)
     told = np.flatnonzero(split | agreed | chosen)
+    if not len(told):
+        return pos[callable_], {}, bq[m1 & m2]
     kinds = np.where(split, "m", np.where(agreed, "x", "z"))[told].tolist()
     nob = abs(one.start - two.start) + abs(one.end - two.end)
     out = {"pos": pos[told].tolist(), "ref": [chr(b) for b in ref[told]], "tri": [below.context(int(p)) for p in pos[told]], "kind": kinds, "callable": callable_[told].tolist()}
@@ -216,6 +237,8 @@ def collapsed(read: Read, below: Stretch, rules: Rules, seed: int) -> tuple[np.n
     changed = good & ~same & (base != N) & (ref != N)
     chosen = good & same & picked(seed, pos, rules.z_share) if rules.z_share else np.zeros(len(pos), bool)
     told = np.flatnonzero(changed | chosen)
+    if not len(told):
+        return pos[changed | (good & same)], {}, bq[same]
     out = {"pos": pos[told].tolist(), "ref": [chr(b) for b in ref[told]], "tri": [below.context(int(p)) for p in pos[told]], "kind": np.where(changed, "x", "z")[told].tolist()}
     out |= {"callable": [True] * len(told), "n_mis": [0] * len(told), "nob": [0] * len(told)} | read.call(q[told], rules.quality_window)
     return pos[changed | (good & same)], out, bq[same]
@@ -302,19 +325,20 @@ def walked(reads: DataFrame, tiles: DataFrame, rules: Rules, one_read: bool = Fa
             records: dict[str, list] = {name: [] for name in fields}
             seeds = batch.column(batch.schema.get_field_index("seed")).to_pylist()
             below_at, lengths = batch.column(batch.schema.get_field_index("below_start")).to_pylist(), batch.column(batch.schema.get_field_index("length")).to_pylist()
+            reads_of, letters = [Reads(batch, s) for s in suffixes], batch.column("below")
             for row in range(len(batch)):
-                sides = [read_of(batch, row, s, rules.trim, rules.indel_pad) for s in suffixes]
-                below = Stretch(below_at[row], np.frombuffer(batch.column("below")[row].as_py().encode(), np.uint8), lengths[row])
+                sides = [x.read(row, rules.trim, rules.indel_pad) for x in reads_of]
+                below = Stretch(below_at[row], np.frombuffer(letters[row].as_py().encode(), np.uint8), lengths[row])
                 positions, told, bq = (collapsed if one_read else duplex)(*sides, below, rules, seeds[row])
                 first, last = runs(positions)
                 counts.append(len(positions))
                 starts.append(first)
                 ends.append(last)
                 run_ends.append(run_ends[-1] + len(first))
-                for name in fields:
-                    records[name] += told[name]
-                record_ends.append(record_ends[-1] + len(told["pos"]))
-                seen = np.bincount(bq) if len(bq) else np.zeros(0, np.int64)
+                for name, values in told.items():
+                    records[name] += values
+                record_ends.append(len(records["pos"]))
+                seen = np.bincount(bq)
                 bqs.append(np.flatnonzero(seen))
                 often.append(seen[bqs[-1]])
                 quality_ends.append(quality_ends[-1] + len(bqs[-1]))
