@@ -113,8 +113,10 @@ def scores(docs: DataFrame, text: str = "text", ident: str = "doc_id", order: in
     have 0 words and scores of 0. Very long texts are read whole. Repeated rows
     count as often as they are there, and each has its row. Null idents are
     idents like others. Other columns of docs are not touched, whatever their
-    names; an empty table gives an empty one.
+    names; an ident named like one of the result's columns is an error. An empty table gives an empty one.
     """
+    if ident in ("n_words", "log_score", "mean_log_score"):
+        raise ValueError(f"the ident can't be named {ident}: the result has a column of that name")
     rows, every = exploded(docs, text, ident, order)
     rows = cut(rows.groupBy("__id", "key").agg(F.first("n_words").alias("n_words"), F.count(F.lit(1)).alias("copies")))
     total = rows.agg(F.coalesce(F.sum(F.col("n_words") * F.col("copies")), F.lit(0))).first()[0]

@@ -3,10 +3,11 @@
 Documents become pieces of at most `capacity` tokens where they are read;
 only the pieces' numbers travel. They are dealt evenly to tasks of a fixed
 number of pieces, so tasks grow in number, not in size, with the corpus.
-Within a task the pieces come longest first, and each goes to the open bin
-with the least room that still holds it. Open bins are kept by free space,
-with a bitset telling which free spaces occur; at most `open_bins` are open,
-and the fullest closes first.
+Each piece goes to the open bin with the least room that still holds it. Open
+bins are kept by free space, with a bitset telling which free spaces occur; at
+most `open_bins` are open, and the fullest closes first. The bins take pieces
+as they come, without looking ahead; but a task hands them the longest first,
+since that makes the fewest sequences.
 """
 
 from __future__ import annotations
@@ -107,8 +108,11 @@ def pack(
     repeated with the same ident are packed separately. A document longer
     than capacity is cut into full pieces and a rest; no other is cut.
     An empty table gives an empty table. memory_bytes bounds what a worker
-    remembers of words, twice; it changes the speed, never the rows.
+    remembers of words, twice; it changes the speed, never the rows. Other columns are not
+    touched, whatever their names; an ident named like one of the result's columns is an error.
     """
+    if ident in ("piece", "start", "length", "ids_crc32", "sequence_id", "offset"):
+        raise ValueError(f"the ident can't be named {ident}: the result has a column of that name")
     made = cut(pieces(docs, text, ident, tokenizer or tokenizer_path("word_bpe_49k.json"), capacity, memory_bytes=memory_bytes))
     tasks = max(1, -(-made.count() // pieces_per_task))
     # the cut above makes the dealing, and with it every placement, the same when a task is run again

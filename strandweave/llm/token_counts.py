@@ -1,21 +1,24 @@
 """Token counts by offset-mapped attribution.
 
-A whole document is encoded once. Its tokens' character spans meet the
-spans of its sections in an interval join, and a token that crosses a
-boundary goes to one section by a stated rule, so that the sections' counts
-add up to the document's. No rows shuffle: a document carries its sections.
+A whole document is encoded once, as the tokenizer does it. Its tokens' character
+spans meet the spans of its sections in an interval join over two sorted lists,
+and a token that crosses a boundary goes to one section by a stated rule, so
+that the counts of sections that tile a text add up to the document's. No
+rows shuffle: a document carries its sections.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
-import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from tokenizers import Tokenizer
 
-from .tokens import PieceCounts, PieceSpans, piece_spans, tokenizer_path
+from .tokens import tokenizer_path
 
 #: start: where the token's first character lies; end: its last; majority: where most of its characters lie, the first of equals.
 RULES = ("start", "end", "majority")
@@ -33,61 +36,71 @@ def line_spans(text: str) -> np.ndarray:
     return np.stack([np.array(starts), np.append(starts[1:], len(text))], axis=1).astype(np.int64)
 
 
-def _chosen(token: tuple[int, int], sections: np.ndarray, touched: range, rule: str) -> int:
-    a, b = token
-    if rule == "start":
-        return next((k for k in touched if sections[k, 0] <= a < sections[k, 1]), -1)
-    if rule == "end":
-        return next((k for k in touched if sections[k, 0] < b <= sections[k, 1]), -1)
-    shared = [min(b, int(sections[k, 1])) - max(a, int(sections[k, 0])) for k in touched]
-    return touched[shared.index(max(shared))] if shared and max(shared) > 0 else -1
+def token_spans(tokenizer: Tokenizer, text: str) -> np.ndarray:
+    """(n, 2) starts and ends in characters of a whole text's tokens, in order.
+
+    A token that holds part of a character's bytes spans that character. Strings of
+    special tokens in a text are those tokens, as in any plain encoding.
+    """
+    offsets = tokenizer.encode(text, add_special_tokens=False).offsets
+    return np.fromiter(chain.from_iterable(offsets), np.int64, 2 * len(offsets)).reshape(-1, 2)
 
 
-def attributed(text: str, sections: np.ndarray, spans: PieceSpans, counts: PieceCounts, rule: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """(tokens of each section, boundary-crossing tokens each touches, tokens of the text).
+def attributed(tokens: np.ndarray, sections: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens of each section, boundary-crossing tokens each touches).
 
-    sections: sorted (start, end) that don't overlap; tokens of the gaps between them count for none.
+    tokens: spans in order. sections: sorted spans that don't overlap; a token that
+    touches none, or whose deciding character lies in a gap, counts for none.
     """
-    pieces = spans.split.findall(text)
-    n = len(pieces)
-    ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, n))
-    starts = np.concatenate(([0], ends[:-1])) if n else ends
-    before = np.concatenate(([0], np.cumsum(np.fromiter(map(counts.__getitem__, pieces), np.int64, n))))
-    bounds = np.unique(sections)
-    piece = np.searchsorted(ends, bounds, side="right")  # the piece that holds the bound, or starts at it
-    reached = before[piece].copy()  # tokens that start before each bound
-    crossing: dict[tuple[int, int], None] = {}
-    for k in np.flatnonzero((piece < n) & (starts[np.minimum(piece, n - 1)] < bounds)) if n else ():
-        p = int(piece[k])
-        _, a, b = spans[pieces[p]]
-        at = int(bounds[k] - starts[p])
-        reached[k] += sum(x < at for x in a)
-        crossing.update({(int(starts[p]) + x, int(starts[p]) + y): None for x, y in zip(a, b, strict=True) if x < at < y})
-    tokens = reached[np.searchsorted(bounds, sections[:, 1])] - reached[np.searchsorted(bounds, sections[:, 0])]
-    touches = np.zeros(len(sections), np.int64)
-    for token in crossing:
-        touched = range(int(np.searchsorted(sections[:, 1], token[0], side="right")), int(np.searchsorted(sections[:, 0], token[1], side="left")))
-        touches[touched.start : touched.stop] += 1
-        at_start, goes = _chosen(token, sections, touched, "start"), _chosen(token, sections, touched, rule)
-        if at_start >= 0:
-            tokens[at_start] -= 1
-        if goes >= 0:
-            tokens[goes] += 1
-    return tokens, touches, int(before[-1])
-
-
-def attribute(docs: DataFrame, text: str = "text", ident: str = "doc_id", sections: str | None = None, rule: str = "majority", tokenizer: str | None = None, pattern: str | None = None) -> DataFrame:
+    n = len(sections)
+    if not n or not len(tokens):
+        return np.zeros(n, np.int64), np.zeros(n, np.int64)
+    (a, b), (starts, ends) = tokens.T, sections.T
+    first = np.searchsorted(ends, a, side="right")  # the first section that ends after the token begins
+    last = np.searchsorted(starts, b, side="left") - 1  # the last that begins before the token ends
+    touches = first <= last
+    inside = touches & (first == last) & (starts[np.minimum(first, n - 1)] <= a) & (b <= ends[np.minimum(first, n - 1)])
+    goes = np.where(inside, first, -1)
+    crossing = np.flatnonzero(touches & ~inside)
+    touched = np.zeros(n + 1, np.int64)
+    np.add.at(touched, first[crossing], 1)
+    np.add.at(touched, last[crossing] + 1, -1)
+    for k in crossing:
+        own = np.arange(first[k], last[k] + 1)
+        if rule == "majority":
+            shared = np.minimum(b[k], ends[own]) - np.maximum(a[k], starts[own])
+            goes[k] = own[shared.argmax()] if shared.max() > 0 else -1
+        else:
+            at = a[k] if rule == "start" else b[k] - 1
+            held = own[(starts[own] <= at) & (at < ends[own])]
+            goes[k] = held[0] if len(held) else -1
+    return np.bincount(goes[goes >= 0], minlength=n), np.cumsum(touched)[:n]
+
+
+COLUMNS = ("section", "start", "end", "n_tokens", "n_crossing", "doc_tokens")
+
+
+@lru_cache(maxsize=2)
+def whole_text_tokenizer(path: str) -> Tokenizer:
+    return Tokenizer.from_file(path)
+
+
+def attribute(docs: DataFrame, text: str = "text", ident: str = "doc_id", sections: str | None = None, rule: str = "majority", tokenizer: str | None = None) -> DataFrame:
     """One row per section of each row of docs: ident, section (from 0), start, end, n_tokens, n_crossing, doc_tokens.
 
     sections: an array<struct<start:int,end:int>> column of character spans;
     without it, a text's lines with their newlines. Spans are sorted; null
     ones are left out and ends are clipped to the text. Overlapping spans
-    raise an error. Null text is empty: its one line has no tokens. Rows
-    repeated with the same ident give repeated rows; no rows, none.
+    raise an error. Null text is empty: its one line has no tokens. Texts are
+    encoded whole, whatever their length, and special tokens' strings count as those
+    tokens. Rows repeated with the same ident give repeated rows; no rows, none. Other
+    columns are not touched, whatever their names; an ident named like one of the result's columns is an error.
     """
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
-    path, pattern = tokenizer or tokenizer_path("byte_bpe_50k.json"), pattern or public_tokenizers.PATTERN
+    if ident in COLUMNS:
+        raise ValueError(f"the ident can't be named {ident}: the result has a column of that name")
+    path = tokenizer or tokenizer_path("byte_bpe_50k.json")
     given = F.col(sections).cast(SPANS) if sections else F.lit(None).cast(SPANS)
     narrow = docs.select(F.col(ident).alias("__id"), F.col(text).cast("string").alias("__text"), given.alias("__spans"))
     schema = T.StructType().add("__id", narrow.schema["__id"].dataType).add("section", "integer").add("start", "integer").add("end", "integer").add("n_tokens", "long").add("n_crossing", "long").add("doc_tokens", "long")
@@ -101,17 +114,17 @@ def attribute(docs: DataFrame, text: str = "text", ident: str = "doc_id", sectio
         return np.array(kept, np.int64).reshape(-1, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans = piece_spans(path, pattern)
-        counts = PieceCounts(spans)
+        encoder = whole_text_tokenizer(path)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part, whose, found = batch.slice(at, 256), [], []
                 for k in range(len(part)):
                     body = part.column(1)[k].as_py() or ""
                     where = spans_of(body, part.column(2)[k].as_py())
-                    tokens, touches, total = attributed(body, where, spans, counts, rule)
+                    spans = token_spans(encoder, body)
+                    tokens, touches = attributed(spans, where, rule)
                     whose.append(np.full(len(where), k))
-                    found.append((np.arange(len(where)), where[:, 0], where[:, 1], tokens, touches, np.full(len(where), total)))
+                    found.append((np.arange(len(where)), where[:, 0], where[:, 1], tokens, touches, np.full(len(where), len(spans))))
                 columns = [np.concatenate(c) for c in zip(*found, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.concatenate(whose))), *(pa.array(c.astype(t)) for c, t in zip(columns, (np.int32, np.int32, np.int32, np.int64, np.int64, np.int64), strict=True))], names=schema.names)
 

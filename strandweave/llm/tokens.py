@@ -1,6 +1,6 @@
-"""Token ids and token spans of whole texts, by public tokenizers, with per-word memory.
+"""Token ids of whole texts, by public tokenizers, with per-word memory.
 
-Both helpers rest on the tokenizer's own pre-tokeniser: no merge crosses
+This rests on the tokenizer's own pre-tokeniser: no merge crosses
 the places where a text is split here, so encoding the parts once and
 remembering them gives the ids of the whole text.
 """
@@ -10,9 +10,7 @@ from __future__ import annotations
 import struct
 from functools import lru_cache
 
-import numpy as np
 import public_tokenizers
-import regex
 from tokenizers import Tokenizer
 
 #: Bytes that one memory of a worker may take, about: this much new, and as much of before. Longer texts aren't remembered.
@@ -100,65 +98,5 @@ def word_ids(path: str, most_bytes: int = MOST_BYTES) -> WordIds:
     return WordIds(path, most_bytes)
 
 
-class PieceSpans(Memory):
-    """pre-token -> (token count, relative starts, relative ends) in characters.
-
-    For byte-level BPE; a token that holds part of a character's bytes spans
-    that whole character.
-    """
-
-    def __init__(self, path: str, pattern: str):
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        self.split = regex.compile(pattern)
-
-    @staticmethod
-    def plain(piece: str) -> bool:
-        """A Latin-1 word, perhaps after a space: the merges alone give its tokens."""
-        word = piece[1:] if piece[:1] == " " else piece
-        return word.isalpha() and (word.isascii() or max(word) < "\u0100")
-
-    def make(self, piece: str):
-        if self.plain(piece):
-            ends = np.cumsum([len(t.value) for t in self.model.tokenize(letters_of(piece))]).tolist()
-            if not piece.isascii():  # from bytes to the characters that hold them
-                at = [k for k, c in enumerate(piece) for _ in range(1 if c < "\x80" else 2)]
-                return len(ends), tuple(at[b] for b in [0, *ends[:-1]]), tuple(at[b - 1] + 1 for b in ends)
-            return len(ends), (0, *ends[:-1]), tuple(ends)
-        offsets = self.tokenizer.encode(piece, add_special_tokens=False).offsets
-        return len(offsets), tuple(a for a, _ in offsets), tuple(b for _, b in offsets)
-
-    def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of all tokens of a text."""
-        pieces = self.split.findall(text)
-        if not pieces:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        found = [self[p] for p in pieces]
-        counts = np.fromiter((f[0] for f in found), np.int64, len(found))
-        total = int(counts.sum())
-        at = np.repeat(np.cumsum([0] + [len(p) for p in pieces[:-1]]), counts)
-        starts = np.fromiter((x for f in found for x in f[1]), np.int64, total)
-        ends = np.fromiter((x for f in found for x in f[2]), np.int64, total)
-        return starts + at, ends + at
-
-
-class PieceCounts(Memory):
-    """pre-token -> how many tokens it has."""
-
-    def __init__(self, spans: PieceSpans):
-        super().__init__()
-        self.spans = spans
-
-    def make(self, piece: str) -> int:
-        return len(self.spans.model.tokenize(letters_of(piece))) if self.spans.plain(piece) else self.spans[piece][0]
-
-
-@lru_cache(maxsize=2)
-def piece_spans(path: str, pattern: str) -> PieceSpans:
-    return PieceSpans(path, pattern)
-
-
 def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)

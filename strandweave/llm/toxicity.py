@@ -82,27 +82,31 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, text: str = "text", iden
 
     Null labels and null idents are ignored. When there are more than
     max_rows labels, those whose hashed ident is in the share that leaves
-    about max_rows are used.
+    about max_rows are used. A label counts once, however many rows of docs have its ident:
+    with the first of their texts' features in the order of bytes. Texts are read whole,
+    whatever their length, and other columns are not touched.
     """
     known = cut(labels.where(F.col(label).isNotNull() & F.col(ident).isNotNull()).select(F.col(ident), F.col(label).cast("int").alias("__label")))
     total = known.count()
     spread = F.pmod(F.xxhash64(F.col(ident), F.lit(17)), F.lit(_PICK))
     picked = known.where(spread < int(_PICK * min(1.0, max_rows / max(1, total)))).withColumn("__order", F.xxhash64(F.col(ident), F.lit(18)))
-    rows = docs.select(F.col(ident), F.col(text).cast("string").alias("__text")).join(bounded(picked, min(total, max_rows)), ident)
+    picked = picked.select(F.col(ident).alias("__id"), "__label", "__order", F.monotonically_increasing_id().alias("__key"))
+    rows = docs.select(F.col(ident).alias("__id"), F.col(text).cast("string").alias("__text")).join(bounded(picked, min(total, max_rows)), "__id")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            made = [np.unique(features(word_hashes(t.as_py(), words), bits)) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([m.astype("<i4").tobytes() for m in made], pa.binary())], names=["order", "label", "places"])
+            made = [np.unique(features(word_hashes(t.as_py(), words), bits)) for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([m.astype("<i4").tobytes() for m in made], pa.binary())], names=["key", "order", "label", "places"])
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = [(y, np.frombuffer(p, "<i4")) for b in batches for y, p in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
         bias, places, weights = learn(seen, bits, how)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(places, -1), pa.int64()), pa.array(np.append(weights, bias), pa.float64()), pa.array([len(seen)] * (len(places) + 1), pa.int64())], names=["place", "weight", "rows"])
 
-    ready = rows.select("__order", "__label", "__text").mapInArrow(hashed, "order long, label int, places binary")
-    one = ready.repartition(1).sortWithinPartitions("order", "label", "places")  # at most about max_rows rows
+    ready = rows.select("__key", "__order", "__label", "__text").mapInArrow(hashed, "key long, order long, label int, places binary")
+    once = ready.groupBy("key", "order", "label").agg(F.min("places").alias("places")).select("order", "label", "places")
+    one = once.repartition(1).sortWithinPartitions("order", "label", "places")  # at most about max_rows rows
     found = cut(one.mapInArrow(fitted, "place long, weight double, rows long")).collect()  # at most 2^bits + 1 numbers
     bias = next((r.weight for r in found if r.place < 0), 0.0)
     kept = sorted((r.place, r.weight) for r in found if r.place >= 0)
@@ -154,7 +158,10 @@ def verdicts(docs: DataFrame, model: Model, text: str = "text", ident: str = "do
 
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """The rows of docs, with all their columns, that score under 0.5."""
-    clash = "score" in docs.columns
-    scored = score(docs.withColumnRenamed("score", "__score") if clash else docs, model, text, ident).where("score < 0.5").drop("score")
-    return scored.withColumnRenamed("__score", "score") if clash else scored
+    """The rows of docs, with all their columns, that score under 0.5.
+
+    Null and empty texts score the model's bias, texts of any length are read whole, repeated
+    rows stay or go together, and columns may have any names.
+    """
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # no name clashes with the score's
+    return score(plain, model, f"c{docs.columns.index(text)}").where("score < 0.5").drop("score").toDF(*docs.columns)

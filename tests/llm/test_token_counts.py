@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from strandweave.llm import token_counts
-from strandweave.llm.tokens import PieceSpans, WordIds, tokenizer_path
+from strandweave.llm.tokens import WordIds, tokenizer_path
 
 from .helpers import docs
 
@@ -30,9 +30,7 @@ def brute(text, sections, rule, tok):
 
 @pytest.fixture(scope="module")
 def tok():
-    t = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
 
 
 @pytest.mark.parametrize("rule", token_counts.RULES)
@@ -63,11 +61,46 @@ def test_no_rows(spark):
     assert token_counts.attribute(docs(spark, [])).count() == 0
 
 
-def test_remembered_pieces_equal_the_tokenizers(tok):
-    import public_tokenizers
-
-    spans, ids, plain = PieceSpans(tokenizer_path("byte_bpe_50k.json"), public_tokenizers.PATTERN), WordIds(tokenizer_path("word_bpe_49k.json")), Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
-    for text in [t or "" for t in TEXTS] + ["ÀÉ ÿß Ünd, İx ŒUVRE", "é ́x"]:
-        a, b = spans.spans(text)
-        assert list(zip(a.tolist(), b.tolist(), strict=True)) == tok.encode(text, add_special_tokens=False).offsets
+def test_remembered_pieces_equal_the_tokenizers():
+    ids, plain = WordIds(tokenizer_path("word_bpe_49k.json")), Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    for text in [t or "" for t in TEXTS] + ["ÀÉ ÿß Ünd, İx ŒUVRE", "é ́x"]:
         assert np.frombuffer(ids.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_special_tokens_count_as_the_tokenizer_has_them(spark, tok):
+    got = token_counts.attribute(docs(spark, [(1, "hello <|endoftext|> you")])).collect()
+    assert [r.n_tokens for r in got] == [len(tok.encode("hello <|endoftext|> you", add_special_tokens=False).ids)] == [4]
+
+
+def test_any_spans_against_all_pairs():
+    rng = random.Random(9)
+    for _ in range(300):
+        cuts = sorted(rng.sample(range(40), 8))
+        sections = np.array([(a, b) for a, b in zip(cuts, cuts[1:], strict=False) if rng.random() < 0.7] or [(3, 3)])
+        at, tokens = 0, []
+        while at < 38:
+            to = at + rng.randint(1, 7)
+            tokens.append((at, to))
+            at = to if rng.random() < 0.8 else at  # tokens of one character's bytes share its span
+        for rule in token_counts.RULES:
+            counts, touches = token_counts.attributed(np.array(tokens), sections, rule)
+            want, seen = [0] * len(sections), [0] * len(sections)
+            for a, b in tokens:
+                shared = [min(b, e) - max(a, s) for s, e in sections]
+                p = a if rule == "start" else b - 1
+                k = (int(np.argmax(shared)) if max(shared) > 0 else None) if rule == "majority" else next((k for k, (s, e) in enumerate(sections) if s <= p < e), None)
+                if k is not None:
+                    want[k] += 1
+                held = [k for k, x in enumerate(shared) if x > 0]
+                if held and not (len(held) == 1 and sections[held[0]][0] <= a and b <= sections[held[0]][1]):
+                    for k in range(held[0], held[-1] + 1):
+                        seen[k] += 1
+            assert counts.tolist() == want and touches.tolist() == seen
+
+
+def test_long_texts_and_clashing_names(spark, tok):
+    text = "Grüße an alle, \n" * 6000
+    got = token_counts.attribute(docs(spark, [(1, text), (1, text)]).withColumn("doc_tokens", F.lit("x"))).collect()
+    assert len(got) == 12_000 and sum(r.n_tokens for r in got) == 2 * len(tok.encode(text, add_special_tokens=False).ids)
+    with pytest.raises(ValueError, match="start"):
+        token_counts.attribute(docs(spark, [(1, "a")]).withColumnRenamed("doc_id", "start"), ident="start")

@@ -45,8 +45,10 @@ def test_odd_rows(spark):
     odd = docs(spark, [(1, None), (1, None), (2, ""), (None, "vile"), (3, "a " * 50_000)]).withColumn("score", F.lit("mine"))
     got = toxicity.verdicts(odd, model).collect()
     assert len(got) == 5 and len({r.score for r in got if r.doc_id in (1, 2)}) == 1 and all(r.predicted == 0 for r in got if r.doc_id in (1, 2))
-    kept = toxicity.without_toxic(odd, model)
-    assert sorted(kept.columns) == sorted(odd.columns) and {r.score for r in kept.collect()} == {"mine"}
+    wide = odd.withColumns({c: F.lit(c) for c in ("__score", "c0", "c1", "held_out")})
+    kept = toxicity.without_toxic(wide, model)
+    assert kept.columns == wide.columns and {(r.score, r["__score"], r.c1) for r in kept.collect()} == {("mine", "__score", "c1")}
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got if r.score < 0.5}
     assert toxicity.verdicts(docs(spark, []), model).count() == 0
     empty = toxicity.train(docs(spark, rows), spark.createDataFrame([], "doc_id long, toxic int"))
     assert empty.rows == 0 and toxicity.verdicts(docs(spark, rows), empty).agg(F.max("score")).first()[0] == 0.0
@@ -56,3 +58,36 @@ def test_the_sample_is_bounded(spark):
     rows, labels = corpus(600)
     table, known = docs(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
     assert 50 < toxicity.fit(table, known, "toxic", max_rows=100).rows < 160
+
+
+def test_rows_that_repeat_a_labelled_document_count_once(spark):
+    rows, labels = corpus(120)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    one = toxicity.train(docs(spark, rows), known)
+    many = toxicity.train(docs(spark, rows + rows[:40] * 5), known)
+    assert one.rows == many.rows and one.bias == many.bias and np.array_equal(one.weights, many.weights)
+
+
+def test_learning_equals_a_plain_loop():
+    """The published update, a coordinate at a time, in dictionaries."""
+    rng, how, bits = np.random.default_rng(3), toxicity.Ftrl(), 8
+    rows = [(int(rng.random() < 0.4), np.unique(rng.integers(0, 1 << bits, rng.integers(0, 12))).astype(np.int32)) for _ in range(80)]
+    z, n, bias = {}, {}, 1 << bits
+
+    def weight(k):
+        if k != bias and abs(z.get(k, 0.0)) <= how.l1:
+            return 0.0
+        shrunk = z.get(k, 0.0) - (0.0 if k == bias else how.l1 * np.sign(z.get(k, 0.0)))
+        return -shrunk / ((how.beta + n.get(k, 0.0) ** 0.5) / how.alpha + how.l2)
+
+    for _ in range(how.passes):
+        for y, places in rows:
+            at = [*places.tolist(), bias]
+            w = [weight(k) for k in at]
+            g = 1 / (1 + np.exp(-sum(w))) - y
+            for k, own in zip(at, w, strict=True):
+                sigma = ((n.get(k, 0.0) + g * g) ** 0.5 - n.get(k, 0.0) ** 0.5) / how.alpha
+                z[k], n[k] = z.get(k, 0.0) + g - sigma * own, n.get(k, 0.0) + g * g
+    found_bias, places, weights = toxicity.learn(rows, bits, how)
+    assert np.isclose(found_bias, weight(bias)) and places.tolist() == sorted(k for k in z if k != bias and abs(z[k]) > how.l1)
+    assert np.allclose(weights, [weight(k) for k in places.tolist()])
