@@ -19,9 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for checkpoints; unset (in tests), one in the warehouse."""
+    """The folder that the cluster names for checkpoints; where a local session has none, one in the warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if spark.conf.get("spark.checkpoint.dir", None) is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
     return context.getCheckpointDir()
 

@@ -377,7 +377,11 @@ def payload_of(text: bytes) -> bytes:
 
 
 def store(docs: DataFrame, text: str = "text", ident: str = "doc_id") -> DataFrame:
-    """ident, n_bytes, media: each whole text in UTF-8, padded, as a Matroska file. Null is empty."""
+    """ident, n_bytes, media: each whole text in UTF-8, padded, as a Matroska file.
+
+    Null is empty; texts of any length are stored whole, a file each. Repeated rows and null
+    idents give rows of their own, no rows give none. Other columns are not touched, whatever their names.
+    """
     narrow = docs.select(F.col(ident).alias("__id"), F.col(text).cast("string").alias("__text"))
 
     def run(batches):
@@ -416,7 +420,8 @@ def packets(files: DataFrame, media: str = "media", ident: str = "doc_id") -> Da
     """The packet table: one row per frame, with its byte range in the file.
 
     Null, empty and foreign files have no packets; a damaged file has those
-    before the damage. Repeated rows give repeated packets.
+    before the damage. Repeated rows give repeated packets. Files are walked whole, one at
+    a time. Other columns are not touched, whatever their names.
     """
     return _exploded(files, media, ident, PACKETS, lambda data: parse(data).packets)
 
@@ -442,7 +447,9 @@ def feature(payload: bytes, found: Parsed) -> str:
 def digests(files: DataFrame, media: str = "media", ident: str = "doc_id", n_bytes: str = "n_bytes") -> DataFrame:
     """One row per file: hashes of the payload read back through its packets, and features.
 
-    A file that isn't Matroska has an empty payload and says why in error.
+    A file that isn't Matroska has an empty payload and says why in error; so do null and
+    empty ones. Files of any length are read whole. Repeated rows give repeated rows, no rows
+    none. Other columns are not touched, whatever their names.
     """
     narrow = files.select(F.col(ident).alias("__id"), F.col(n_bytes).cast("long").alias("__n"), F.col(media).cast("binary").alias("__media"))
 

@@ -36,3 +36,18 @@ def test_stages_keep_the_columns_and_drop_what_they_should(spark, tmp_path):
 
 def test_run_on_the_smallest_tables(spark):
     assert QUERIES["pipeline"](spark, "/root/testdata/sf0.001").count() > 100
+
+
+def test_stages_on_empty_tables_and_clashing_names(spark, tmp_path):
+    """Every stage keeps columns named like its own, and makes nothing of nothing."""
+    rows = [(i, " ".join(prose(random.Random(i), 20))) for i in range(30)] + [(5, "again"), (None, None), (31, "word " * 20_000)]
+    table = docs(spark, rows).withColumns({c: F.lit(c) for c in ("score", "__score", "__row", "c0", "n", "copy", "keep_id", "kept")})
+    spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for start in (table, table.where("false")):
+        kept = start
+        for name, stage in corpus_pipeline.STAGES:
+            kept = stage(spark, kept, str(tmp_path))
+            if name != "packing":
+                assert kept.columns == table.columns, name
+                assert kept.where("score <> 'score' or __row <> '__row' or copy <> 'copy'").isEmpty()
+        assert (kept.count() == 0) == start.isEmpty()
