@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and works on everything its
 predecessor kept. All but the last return the columns of documents, so each
 can be written as Parquet and read again in between.
+
+All stages take null and empty texts and null idents, texts of any length,
+repeated rows and further columns of any names; from no rows they make
+none. Null and empty texts score the model's bias, are exact copies of one
+another, have no near copies, and are packed as their end id. Of exact
+copies the row with the largest doc_id stays (any one, where that is repeated), of near ones
+the row with the smallest; rows without doc_id have no near copies.
 """
 
 from __future__ import annotations
