@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import dna, stats
 from ..functions.genomes import PRESETS, preset
-from ..operators import annotate, attribution, band, bitmaps, filters, intervals, kmers, molecules, pairing, pileup, setops, spectrum
+from ..operators import annotate, attribution, band, bitmaps, complexity, filters, intervals, kmers, molecules, pairing, pileup, setops, spectrum
 from ..session import durable
 from . import corrected
 
@@ -568,3 +568,25 @@ def allele_pileup(spark, sf_dir):
     sites = sites.select(F.lit("s").alias("sample"), F.concat(F.lit("c"), F.col("k")).alias("contig"), "pos")
     counts = pileup.count_alleles(order_reads(spark, sf_dir), sites, bin_width=1024)
     return counts.select("contig", F.col("pos").cast("long").alias("pos"), *dna.BASES)
+
+
+@query()
+def low_complexity(spark, sf_dir):
+    """Low-complexity intervals of all texts, their letters taken for bases."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    bases = F.translate(F.lower("text"), letters, "".join(dna.BASES[k % 4] for k in range(len(letters))))
+    return complexity.of_sequences(table(spark, sf_dir, "documents").select("doc_id", bases.alias("seq")), "doc_id", "seq")
+
+
+@query()
+def two_tier_attribution(spark, sf_dir):
+    """Line items as spectra of samples in two groups: a second fit with the signatures that enough samples of a group show.
+
+    Suppliers are of six kinds, each with quantities that it weighs more; a sample holds the kinds of its group.
+    """
+    kind, weight = F.col("l_suppkey") % 6, F.when(F.col("l_quantity") % 6 == F.col("l_suppkey") % 6, 5.0).otherwise(1.0)
+    rows = table(spark, sf_dir, "lineitem").select(kind.alias("kind"), (F.col("l_orderkey") % 8).alias("s"), F.col("l_quantity").cast("int").alias("ord"), weight.alias("w"))
+    signatures = rows.groupBy(F.col("kind").cast("string").alias("signature"), "ord").agg(F.sum("w").alias("weight"))
+    sample, group = F.col("s").cast("string").alias("sample"), (F.col("s") % 2).cast("string").alias("group")
+    spectra = rows.where("kind % 2 = s % 2").groupBy(sample, "ord").agg(F.sum("w").alias("value"))
+    return attribution.attribute(spectra, signatures, rows.select(sample, group).distinct())[1]

@@ -64,6 +64,18 @@ def test_tiles_and_slices_give_the_whole(spark, monkeypatch):
     assert widened.agg(F.min("start")).first()[0] == 0
 
 
+def test_query_over_texts(spark, tmp_path):
+    from strandweave.plans.catalogue import QUERIES
+
+    texts = {1: "The " + "ha" * 30 + "!", 2: None, 3: "", 4: "Nothing of note here, 12 times. " + "é".join("aeiaeiaei" * 5), 5: "z" * 70}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for i, text in texts.items():
+        seq = "".join("ACGT"[(ord(c) - 97) % 4] if "a" <= c <= "z" else "N" if c not in "ACGT" else c for c in (text or "").lower())
+        want += [(i, *x) for x in brute(seq, 64, 2.0)]
+    assert sorted(tuple(r) for r in QUERIES["low_complexity"](spark, str(tmp_path)).collect()) == want and len(want) == 2
+
+
 @pytest.mark.parametrize("per_batch", [1, 2, 7])
 def test_streamed_queue_makes_the_pairs_of_the_table(spark, tmp_path, per_batch):
     rng = random.Random(per_batch)
