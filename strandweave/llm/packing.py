@@ -3,11 +3,12 @@
 Documents become pieces of at most `capacity` tokens where they are read;
 only the pieces' numbers travel. They are dealt evenly to tasks of a fixed
 number of pieces, so tasks grow in number, not in size, with the corpus.
-Each piece goes to the open bin with the least room that still holds it. Open
-bins are kept by free space, with a bitset telling which free spaces occur; at
-most `open_bins` are open, and the fullest closes first. The bins take pieces
-as they come, without looking ahead; but a task hands them the longest first,
-since that makes the fewest sequences.
+Within a task the pieces come in the order of a hash, and each goes to the
+open bin with the least room that still holds it. Open bins are kept by free
+space, with a bitset telling which free spaces occur; at most `open_bins` are
+open, and the fullest closes first. Pieces are placed as they come but for a
+short look-ahead: of each `look_ahead` of them the longest goes first, which
+makes fewer sequences and needs no more memory.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -23,7 +25,7 @@ from .common import cut
 from .tokens import MOST_BYTES, tokenizer_path, word_ids
 
 CAPACITY = 2048
-OPEN_BINS = 32_768
+OPEN_BINS, LOOK_AHEAD = 1_024, 2_048
 PIECES_PER_TASK = 60_000
 PIECES_SCHEMA = "piece int, start long, length long, ids_crc32 long"
 
@@ -35,7 +37,7 @@ class OpenBins:
         self.capacity, self.most = capacity, most
         self.bitset = 0  # bit f: some open bin has f tokens free
         self.by_free: list[list[int]] = [[] for _ in range(capacity + 1)]
-        self.open = self.made = 0
+        self.open = self.made = self.forced = 0  # forced: bins that closed to make room for others
 
     def _take(self, free: int) -> int:
         bins = self.by_free[free]
@@ -54,6 +56,7 @@ class OpenBins:
             if self.open >= self.most:
                 self._take((self.bitset & -self.bitset).bit_length() - 1)  # the fullest closes
                 self.open -= 1
+                self.forced += 1
             free, number = self.capacity, self.made
             self.made += 1
             self.open += 1
@@ -66,6 +69,15 @@ class OpenBins:
         return number, self.capacity - free
 
 
+def placed(lengths: np.ndarray, bins: OpenBins, look_ahead: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, offset) of pieces in the order they come; of each look_ahead of them the longest is placed first."""
+    where = np.zeros((len(lengths), 2), np.int64)
+    for at in range(0, len(lengths), look_ahead):
+        for k in at + np.argsort(-lengths[at : at + look_ahead], kind="stable"):
+            where[k] = bins.place(int(lengths[k]))
+    return where[:, 0], where[:, 1]
+
+
 def pieces(docs: DataFrame, text: str, ident: str, tokenizer: str, capacity: int = CAPACITY, end: int = 0, memory_bytes: int = MOST_BYTES) -> DataFrame:
     """ident, piece, start, length, ids_crc32 of every document's ids plus the id `end`."""
     stop = end.to_bytes(4, "little")
@@ -99,6 +111,7 @@ def pack(
     tokenizer: str | None = None,
     capacity: int = CAPACITY,
     open_bins: int = OPEN_BINS,
+    look_ahead: int = LOOK_AHEAD,
     pieces_per_task: int = PIECES_PER_TASK,
     memory_bytes: int = MOST_BYTES,
 ) -> DataFrame:
@@ -115,16 +128,16 @@ def pack(
         raise ValueError(f"the ident can't be named {ident}: the result has a column of that name")
     made = cut(pieces(docs, text, ident, tokenizer or tokenizer_path("word_bpe_49k.json"), capacity, memory_bytes=memory_bytes))
     tasks = max(1, -(-made.count() // pieces_per_task))
-    # the cut above makes the dealing, and with it every placement, the same when a task is run again
-    dealt = made.repartition(tasks).sortWithinPartitions(F.desc("length"), ident, "piece", "ids_crc32")
+    # the cut above and this order make every placement the same when a task is run again
+    dealt = made.repartition(tasks).sortWithinPartitions(F.xxhash64(ident, "piece", "ids_crc32"), ident, "piece", "ids_crc32")
     where = len(made.columns) - 2  # the length column
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bins, first = OpenBins(capacity, open_bins), TaskContext.get().partitionId() << 40
         for batch in batches:
-            put = [bins.place(n) for n in batch.column(where).to_pylist()]
+            number, offset = placed(batch.column(where).to_numpy(), bins, look_ahead)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([first + b for b, _ in put], pa.int64()), pa.array([o for _, o in put], pa.int64())],
+                [*batch.columns, pa.array(first + number), pa.array(offset)],
                 names=[*batch.schema.names, "sequence_id", "offset"],
             )
 

@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -98,6 +99,29 @@ def test_fullest_closes_first():
     assert bins.place(4) == (0, 6) and bins.place(2) == (2, 8)
 
 
+def test_the_bound_binds_and_hardly_a_place_is_lost():
+    """A full task of the query: pieces of all lengths in any order, more bins than may be open."""
+    rng = np.random.default_rng(4)
+    lengths = np.where(rng.random(20_000) < 0.2, 2048, np.minimum(2048, 1 + rng.gamma(2.0, 350.0, 20_000).astype(np.int64)))
+    bins = packing.OpenBins(packing.CAPACITY, packing.OPEN_BINS)
+    number, offset = packing.placed(lengths, bins, packing.LOOK_AHEAD)
+    assert bins.forced > 1000 and bins.open <= packing.OPEN_BINS
+    assert bins.made <= 1.003 * lengths.sum() / packing.CAPACITY + 1
+    order = np.lexsort((offset, number))
+    ends = np.zeros(bins.made, np.int64)
+    for b, o, n in zip(number[order], offset[order], lengths[order], strict=True):
+        assert o == ends[b]
+        ends[b] += n
+    assert ends.max() <= packing.CAPACITY and ends.min() > 0
+
+
+def test_idents_that_clash_are_refused(spark):
+    table = docs(spark, [(1, "a")])
+    for name in ("piece", "offset"):
+        with pytest.raises(ValueError, match=name):
+            packing.pack(table.withColumnRenamed("doc_id", name), ident=name)
+
+
 def test_a_small_memory_of_words_gives_the_same_pieces(spark):
     rng = random.Random(11)
     table = docs(spark, [(i, " ".join(prose(rng, 300))) for i in range(20)])

@@ -43,3 +43,8 @@ def test_agrees_with_brute_force(spark, order, backoff, cutoff):
 
 def test_empty_table(spark):
     assert lm_score.scores(docs(spark, [])).count() == 0
+
+
+def test_idents_that_clash_are_refused(spark):
+    with pytest.raises(ValueError, match="n_words"):
+        lm_score.scores(docs(spark, [(1, "a")]).withColumnRenamed("doc_id", "n_words"), ident="n_words")
