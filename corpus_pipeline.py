@@ -37,7 +37,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources repeated towards the square root of their size, globally shuffled."""
-    return mixing.mix(docs).select(*[f"`{c}`" for c in docs.columns])
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # no name clashes with what mixing adds
+    named = dict(zip(docs.columns, plain.columns, strict=True))
+    return mixing.mix(plain, named["doc_id"], named["source"], named["text"]).select(*plain.columns).toDF(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
