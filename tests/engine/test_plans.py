@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from strandweave.plans import preprocess, somatic
 from strandweave.sources import alignments, sinks
 
-from .test_alignments import file, written  # noqa: F401
+from .test_alignments import file  # noqa: F401
 from .test_molecules import READS
 
 O = preprocess.Options(min_qlen=0, min_depth=1)
