@@ -115,25 +115,33 @@ def position_depth(spark, sf_dir):
 
 def _spans(spark, sf_dir):
     first = day(F.col("l_shipdate"))
-    return table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", first.alias("start"), (first + F.col("l_quantity").cast("long")).alias("end"))
+    return table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber", "l_returnflag", "l_partkey", first.alias("start"), (first + F.col("l_quantity").cast("long")).alias("end"))
 
 
 #: Days of a bin of the two-level scans.
 DAYS = 64
-_SPANS = f"spans AS (SELECT l_suppkey, l_partkey, {_DAY} AS s, {_DAY} + l_quantity::BIGINT AS e FROM lineitem)"
-_ISLANDS = """
-    once AS (SELECT l_suppkey, s, max(e) AS e FROM {source} GROUP BY l_suppkey, s),
-    reach AS (SELECT *, max(e) OVER (PARTITION BY l_suppkey ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM once),
-    flags AS (SELECT *, sum(CASE WHEN r IS NULL OR s > r THEN 1 ELSE 0 END) OVER (PARTITION BY l_suppkey ORDER BY s ROWS UNBOUNDED PRECEDING) AS g FROM reach),
-    merged AS (SELECT l_suppkey, min(s) AS "start", max(e) AS "end" FROM flags GROUP BY l_suppkey, g)"""
+_SPANS = f"spans AS (SELECT l_suppkey, l_linenumber, l_returnflag, l_partkey, {_DAY} AS s, {_DAY} + l_quantity::BIGINT AS e FROM lineitem)"
+
+
+def _islands(source: str, keys: str = "l_suppkey") -> str:
+    return f"""
+    once AS (SELECT {keys}, s, max(e) AS e FROM {source} GROUP BY {keys}, s),
+    reach AS (SELECT *, max(e) OVER (PARTITION BY {keys} ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS r FROM once),
+    flags AS (SELECT *, sum(CASE WHEN r IS NULL OR s > r THEN 1 ELSE 0 END) OVER (PARTITION BY {keys} ORDER BY s ROWS UNBOUNDED PRECEDING) AS g FROM reach),
+    merged AS (SELECT {keys}, min(s) AS "start", max(e) AS "end" FROM flags GROUP BY {keys}, g)"""
+
+
+#: Whole spans of one supplier nearly tile the years; those of one line number and flag don't.
+FINE = ["l_suppkey", "l_linenumber", "l_returnflag"]
+_FINE = ", ".join(FINE)
 
 
 @query(f"""
-    WITH {_SPANS}, picked AS (SELECT * FROM spans WHERE l_partkey % 50 = 0), {_ISLANDS.format(source="picked")}
-    SELECT l_suppkey, "start", "end" FROM merged""")
+    WITH {_SPANS}, {_islands("spans", _FINE)}
+    SELECT {_FINE}, "start", "end" FROM merged""")
 def merge_intervals(spark, sf_dir):
-    """Overlapping and book-ended intervals made one, by supplier, of every fiftieth part."""
-    return intervals.merge(_spans(spark, sf_dir).where("l_partkey % 50 = 0"), ["l_suppkey"], bin_width=DAYS)
+    """Overlapping and book-ended intervals made one, by supplier, line number and flag."""
+    return intervals.merge(_spans(spark, sf_dir), FINE, bin_width=DAYS)
 
 
 @query(f"""
@@ -154,7 +162,7 @@ def depth_sweep(spark, sf_dir):
     runs AS (SELECT l_suppkey, pos AS s, lead(pos) OVER w AS e, sum(step) OVER w AS depth FROM summed WINDOW w AS (PARTITION BY l_suppkey ORDER BY pos)),
     means AS (SELECT l_suppkey, round(sum(e - s) / 2600.0::DOUBLE, 2) AS m FROM spans GROUP BY 1),
     caps AS (SELECT l_suppkey, CASE WHEN c <= 1 THEN 2.0 ELSE c END AS cap FROM (SELECT l_suppkey, round_even((m + 4 * sqrt(m)) * 100, 0) / 100 AS c FROM means)),
-    high AS (SELECT l_suppkey, s, e FROM runs JOIN caps USING (l_suppkey) WHERE depth >= cap AND e IS NOT NULL), {_ISLANDS.format(source="high")}
+    high AS (SELECT l_suppkey, s, e FROM runs JOIN caps USING (l_suppkey) WHERE depth >= cap AND e IS NOT NULL), {_islands("high")}
     SELECT l_suppkey, "start", "end" FROM merged""")
 def highcov_intervals(spark, sf_dir):
     """Where depth reaches the supplier's cap, mean + 4 sqrt(mean)."""
@@ -165,14 +173,13 @@ def highcov_intervals(spark, sf_dir):
 
 
 @query(f"""
-    WITH {_SPANS}, picked AS (SELECT * FROM spans WHERE l_partkey % 50 = 0), {_ISLANDS.format(source="picked")}
-    SELECT l_suppkey, l_partkey, s AS pos FROM spans p
-    WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.l_suppkey = p.l_suppkey AND p.s >= m."start" AND p.s < m."end")""")
+    WITH {_SPANS}, {_islands("spans", _FINE)}
+    SELECT {_FINE}, l_partkey, e AS pos FROM spans p
+    WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.l_suppkey = p.l_suppkey AND m.l_linenumber = p.l_linenumber AND m.l_returnflag = p.l_returnflag AND p.e >= m."start" AND p.e < m."end")""")
 def mask_anti_join(spark, sf_dir):
-    """Positions outside the merged mask."""
+    """Ends of spans outside the merged mask of all spans of their key."""
     spans = _spans(spark, sf_dir)
-    mask = intervals.merge(spans.where("l_partkey % 50 = 0"), ["l_suppkey"], bin_width=DAYS)
-    return intervals.unmasked(spans.select("l_suppkey", "l_partkey", F.col("start").alias("pos")), mask, ["l_suppkey"], bin_width=64)
+    return intervals.unmasked(spans.select(*FINE, "l_partkey", F.col("end").alias("pos")), intervals.merge(spans, FINE, bin_width=DAYS), FINE, bin_width=64)
 
 
 def _short_spans(spark, sf_dir):
@@ -184,7 +191,7 @@ _SHORT = f"short AS (SELECT l_suppkey, l_partkey, s, s + 1 + (e - s) // 25 AS e,
 
 
 @query(f"""
-    WITH {_SHORT}, {_ISLANDS.format(source="short")}
+    WITH {_SHORT}, {_islands("short")}
     SELECT l_suppkey, "start", "end" FROM merged""")
 def merge_intervals_whole(spark, sf_dir):
     """Overlapping and book-ended intervals made one, by supplier, of all rows."""
@@ -192,7 +199,7 @@ def merge_intervals_whole(spark, sf_dir):
 
 
 @query(f"""
-    WITH {_SHORT}, {_ISLANDS.format(source="short")}
+    WITH {_SHORT}, {_islands("short")}
     SELECT l_suppkey, l_partkey, stop AS pos FROM short p
     WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.l_suppkey = p.l_suppkey AND p.stop >= m."start" AND p.stop < m."end")""")
 def mask_anti_join_whole(spark, sf_dir):
