@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dna import BASES
+from ..session import small
 from .filters import pileup_read
 from .intervals import binned, range_join
 from .walk import BLOCK_OPS, REFERENCE_OPS, placed_ops
 
-
 #: Sites a position from which on a tile is dense: at some 10,000 bases a read, 400 sites a read.
 DENSE_SHARE = 0.04
 
@@ -95,9 +95,9 @@ def sparse_counts(spans: DataFrame, sites: DataFrame, min_baseq: int, bin_width:
 def sites_of_others(candidates: DataFrame, samples: DataFrame) -> DataFrame:
     """For each sample, the sites (contig, pos) of all other samples' candidates.
 
-    samples: one row to a sample, so it is small and may be broadcast.
+    samples: one row to a sample; it is counted, and goes to every task.
     """
-    other = F.broadcast(samples.select(F.col("sample").alias("bam")))
+    other = small(samples.select(F.col("sample").alias("bam")))
     sites = candidates.select("sample", "contig", "pos").distinct()
     return sites.join(other, F.col("bam") != F.col("sample")).select(F.col("bam").alias("sample"), "contig", "pos").distinct()
 
@@ -108,7 +108,7 @@ def support(candidates: DataFrame, counts: DataFrame, samples: DataFrame, min_al
     counts lists A, C, G, T of every other sample in the order of samples.ord; missing ones are zeros.
     """
     least = max(1, min_alt_support)
-    others = F.broadcast(samples.select(F.col("sample").alias("bam"), "ord"))
+    others = small(samples.select(F.col("sample").alias("bam"), "ord"))
     keys = candidates.select("sample", "contig", "pos", "alt").distinct().join(others, F.col("bam") != F.col("sample"))
     met = keys.join(counts.withColumnRenamed("sample", "bam"), ["bam", "contig", "pos"], "left").na.fill(0, list(BASES))
     of_alt = F.coalesce(*[F.when(F.col("alt") == b, F.col(b)) for b in BASES], F.lit(0))

@@ -10,6 +10,7 @@ from ..functions.dna import ratio, round_half_even
 from ..operators import filters, intervals, molecules, walk
 from ..operators.filters import tally
 from ..operators.setops import ranked
+from ..session import small
 
 
 @dataclass(frozen=True)
@@ -112,7 +113,7 @@ def mask(reads: DataFrame, contigs: DataFrame, low_complexity: DataFrame | None,
     """sample, contig, start, end: low-complexity intervals and those of too high coverage, merged."""
     high = high_coverage(reads, contigs, o)
     if low_complexity is not None:
-        samples = F.broadcast(reads.select("sample").distinct())  # one row a sample
+        samples = small(reads.select("sample").distinct())  # one row a sample
         high = high.unionByName(low_complexity.select("contig", "start", "end").crossJoin(samples))
     return intervals.merge(high, ["sample", "contig"])
 

@@ -5,7 +5,18 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+#: Rows of a reference table, such as a run's samples, that may go to every task.
+MOST_SMALL = 100_000
+
+
+def small(df: DataFrame, most: int = MOST_SMALL) -> DataFrame:
+    """df to be broadcast, once its rows have been counted; more of them than `most` are an error."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows in a table that goes to every task")
+    return F.broadcast(df)
 
 
 def durable(df: DataFrame) -> DataFrame:

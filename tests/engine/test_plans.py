@@ -2,9 +2,11 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from strandweave.plans import preprocess, somatic
+from strandweave.session import durable, small
 from strandweave.sources import alignments, sinks
 
 from .test_alignments import file  # noqa: F401
@@ -49,3 +51,11 @@ def test_one_sample_alone(spark):
     assert {r.pos: r.annotation for r in rows.collect()} == {1: "DNM", 2: "FPD", 3: "MSM", 4: "RDM", 6: "FPD", 7: "FPD", 8: "FPD"}
     (rate,) = rates.collect()
     assert (rate.tot_muts, rate.tot_bps) == (1, 200) and rate.mut_rate == 1 / 200 and rate.poisson_ci_lo < rate.mut_rate < rate.poisson_ci_hi
+
+
+def test_tables_for_every_task_are_counted(spark):
+    assert small(spark.range(5), 5).count() == 5
+    with pytest.raises(ValueError, match="more than 4"):
+        small(spark.range(5), 4)
+    kept = durable(spark.range(7))
+    assert kept.count() == 7 and "LogicalRDD" in kept._jdf.queryExecution().analyzed().toString()
