@@ -26,6 +26,8 @@ SLICE = 1 << 18
 
 def perfect(letters: np.ndarray, own: int, window: int = WINDOW, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
     """(starts, ends) of the union of the perfect intervals that begin in the first `own` letters. Other letters than A, C, G, T are in none."""
+    if window > 256:
+        raise ValueError("a window is at most 256 bases")
     none = np.zeros(0, np.int64)
     known = np.full(256, 4, np.uint8)
     known[list((BASES + BASES.lower()).encode())] = [0, 1, 2, 3] * 2
@@ -33,17 +35,20 @@ def perfect(letters: np.ndarray, own: int, window: int = WINDOW, threshold: floa
     n = len(x) - 2
     if n < 2 or own <= 0:
         return none, none
-    code, bad = x[:-2] * 25 + x[1:-1] * 5 + x[2:], np.maximum(np.maximum(x[:-2], x[1:-1]), x[2:]) > 3
+    bad = np.maximum(np.maximum(x[:-2], x[1:-1]), x[2:]) > 3
+    code = (x[:-2] * 25 + x[1:-1] * 5 + x[2:]).astype(np.uint8)
+    left, right = np.where(bad, np.uint8(254), code), np.where(bad, np.uint8(255), code)  # a strange 3-mer equals none
     strange = np.concatenate([[0], np.cumsum(bad)])
-    seen, pairs, best = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n)
+    # small whole numbers and their quotients: narrow types hold them exactly, or keep different ones apart
+    seen, pairs, best = np.zeros(n, np.int16), np.zeros(n, np.int16), np.zeros(n, np.float32)
     cover = np.zeros(len(x) + 1, np.int64)
     for d in range(1, min(window - 2, n)):
-        seen[d:] += (code[d:] == code[: n - d]) & ~bad[d:]
+        seen[d:] += right[d:] == left[: n - d]
         pairs = pairs[: n - d] + seen[d:]  # equal pairs among the 3-mers i to i + d
-        score = pairs / d
+        score = np.divide(pairs, np.float32(d), dtype=np.float32)
         inside = np.maximum(best[:-1], best[1:])
-        good = np.flatnonzero((score > threshold) & (score >= inside) & (strange[d + 1 :][: n - d] == strange[: n - d]))
-        good = good[good < own]
+        good = np.flatnonzero((score > threshold) & (score >= inside))
+        good = good[(good < own) & (strange[good + d + 1] == strange[good])]
         cover[good] += 1  # intervals of one length have different bounds
         cover[good + d + 3] -= 1
         best = np.maximum(score, inside)
