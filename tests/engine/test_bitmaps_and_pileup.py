@@ -61,3 +61,19 @@ def test_many_tiles_in_few_arrays(spark):
     tiles = spark.range(40).select(F.lit("s1").alias("sample"), F.lit("a").alias("contig"), F.col("id").alias("tile"))
     told = lambda most: sorted(tuple(r) for r in pileup.tile_counts(spans, tiles, 40, 16, most).collect())
     assert told(1) == told(64) and len(told(64)) > 300
+
+
+def test_thin_positions_meet_as_words(spark):
+    """A position in 40,000: no shuffle carries pages, and words are dealt out by the number of rows."""
+    rng = random.Random(12)
+    rows = [(rng.choice("xy"), rng.choice([1, 2, None]), rng.choice([k * 40_000 + k % 70 for k in range(150)] + [63, 64, 127, -1, None])) for _ in range(900)] + [(None, 1, 63)]
+    table = spark.createDataFrame(rows, "sample string, contig long, pos long")
+    known = table.where("sample is not null and contig is not null and pos >= 0")
+    want = {(r.contig, r.pos) for r in setops.shared_space(known, "sample", ["contig", "pos"]).collect()}
+    kept = sorted((r for r in rows if (r[1], r[2]) in want), key=str)
+    for tasks in (None, 7):
+        found = bitmaps.shared_words(table, "sample", ["contig"], tasks=tasks)
+        held = bitmaps.holding_words(table, found, ["contig"], tasks=tasks)
+        assert sorted((tuple(r) for r in held.collect()), key=str) == kept and len(want) > 10
+        assert "bitmap_construct_agg" not in held._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(contig" in held._jdf.queryExecution().executedPlan().toString() and ", 7), REPARTITION_BY_NUM" in held._jdf.queryExecution().executedPlan().toString()
