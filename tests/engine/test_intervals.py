@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandweave.operators import intervals
+from strandweave.session import tasks_for
 
 
 def merged(spans):
@@ -70,3 +71,30 @@ def test_one_contig_is_many_tasks(spark):
     plan = intervals.depth_steps(table, bin_width=1024)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert len(windows) >= 2 and any("__at" in line.rsplit("], [", 2)[-2] for line in windows)
+
+
+def test_shuffles_grow_in_tasks(spark):
+    """With a number of tasks every shuffle of rows has it, and nothing else changes; null keys stay keys, but for caps."""
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), s, s + rng.randint(0, 30)) for s in (rng.randint(0, 600) for _ in range(300))]
+    table = spark.createDataFrame(rows, "contig string, start long, end long")
+    told = lambda df: sorted((tuple(r) for r in df.collect()), key=str)
+    scans = (
+        lambda t: intervals.merge(table, bin_width=16, tasks=t),
+        lambda t: intervals.depth_steps(table, bin_width=16, tasks=t),
+        lambda t: intervals.at_least(table, F.lit(4), bin_width=16, tasks=t),
+        lambda t: intervals.unmasked(table.withColumnRenamed("end", "pos").drop("start"), intervals.merge(table, bin_width=16), bin_width=16, tasks=t),
+    )
+    for scan in scans:
+        assert told(scan(5)) == told(scan(None)) and len(told(scan(5))) > 3
+    caps = table.select("contig").distinct().withColumn("cap", F.lit(4))
+    assert told(intervals.at_least(table, caps, bin_width=16)) == told(scans[2](None))
+    assert None in {r.contig for r in scans[0](5).collect()} and None not in {r.contig for r in scans[2](5).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = scans[0](5)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert shuffles and all(", 5), " in x for x in shuffles), shuffles
+    assert [tasks_for(spark.range(n)) for n in (0, 1 << 18, 40 << 18)] == [1, min(16, spark.sparkContext.defaultParallelism), 40]
