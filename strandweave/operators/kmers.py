@@ -35,26 +35,47 @@ def _codes(body: bytes) -> np.ndarray:
     return out
 
 
-def tally(rows: DataFrame, seq: str = "seq", weight: str | None = None, upper: bool = True) -> DataFrame:
-    """tri, positions, total_depth: folded 3-mers of all rows and the sum of their rows' weights (nulls: 0).
+#: Groups of which a task adds up 3-mers at a time.
+GROUPS = 4096
 
-    Each task adds up its own rows and sends on 64 numbers, whatever its size.
+
+def tally(rows: DataFrame, seq: str = "seq", weight: str | None = None, upper: bool = True, by: tuple[str, ...] = ()) -> DataFrame:
+    """by, tri, positions, total_depth: folded 3-mers of all rows and the sum of their rows' weights (nulls: 0).
+
+    Each task adds up its own rows and sends on 64 numbers a group, whatever its size.
     """
     body = (F.upper(seq) if upper else F.col(seq)).cast("string")
+    triples = [a + b + c for a in BASES for b in BASES for c in BASES]
+    kinds = rows.select(*by).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        positions, depth = np.zeros(64, np.int64), np.zeros(64, np.int64)
+        sums: dict[tuple, np.ndarray] = {}
+
+        def told() -> pa.RecordBatch:
+            groups, n = list(sums), len(sums)
+            positions, depth = (np.concatenate([sums[g][k] for g in groups]) for k in (0, 1))
+            names = [pa.array([g[k] for g in groups], types[k]).take(pa.array(np.repeat(np.arange(n), 64))) for k in range(len(by))]
+            return pa.RecordBatch.from_arrays([*names, pa.array(triples * n), pa.array(positions), pa.array(depth)], names=[*by, "tri", "positions", "total_depth"])
+
         for batch in batches:
-            for text, w in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            types = [batch.schema.field(2 + k).type for k in range(len(by))]
+            groups = zip(*[batch.column(2 + k).to_pylist() for k in range(len(by))], strict=True) if by else [()] * len(batch)
+            for text, w, group in zip(batch.column(0), batch.column(1).to_pylist(), groups, strict=True):
+                if group not in sums:
+                    if len(sums) >= GROUPS:
+                        yield told()
+                        sums.clear()
+                    sums[group] = np.zeros((2, 64), np.int64)
                 found = _codes((text.as_py() or "").encode("utf-8", "surrogatepass"))
-                positions += found
-                depth += found * w
-        names = [a + b + c for a in BASES for b in BASES for c in BASES]
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(positions), pa.array(depth)], names=["tri", "positions", "total_depth"])
+                sums[group][0] += found
+                sums[group][1] += found * w
+        if sums:
+            yield told()
 
     weighed = F.coalesce(F.col(weight).cast("long"), F.lit(0).cast("long")) if weight else F.lit(0).cast("long")
-    parts = rows.select(body.alias("s"), weighed.alias("w")).mapInArrow(run, "tri string, positions long, total_depth long").where("positions > 0")
-    return parts.groupBy(fold(F.col("tri")).alias("tri")).agg(F.sum("positions").alias("positions"), F.sum("total_depth").alias("total_depth"))
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kinds], "tri string, positions long, total_depth long"])
+    parts = rows.select(body.alias("__s"), weighed.alias("__w"), *by).mapInArrow(run, schema).where("positions > 0")
+    return parts.groupBy(*by, fold(F.col("tri")).alias("tri")).agg(F.sum("positions").alias("positions"), F.sum("total_depth").alias("total_depth"))
 
 
 def composition(sequences: DataFrame, seq: str = "seq", by: tuple[str, ...] = (), upper: bool = True) -> DataFrame:
@@ -62,11 +83,7 @@ def composition(sequences: DataFrame, seq: str = "seq", by: tuple[str, ...] = ()
 
     upper: case doesn't count, as in genomes; without it lower-case letters are others.
     """
-    if not by:
-        return tally(sequences, seq, None, upper).select("tri", F.col("positions").alias("n"))
-    body = F.upper(seq) if upper else F.col(seq)
-    tri = sequences.select(*by, F.explode(trimers(body)).alias("tri")).groupBy(*by, "tri").agg(F.count(F.lit(1)).alias("n"))
-    return tri.withColumn("tri", fold(F.col("tri"))).where("tri is not null").groupBy(*by, "tri").agg(F.sum("n").alias("n"))
+    return tally(sequences, seq, None, upper, by).select(*by, "tri", F.col("positions").alias("n"))
 
 
 def chunk_composition(chunks: DataFrame, seq: str = "seq") -> DataFrame:
