@@ -13,9 +13,12 @@ def first_annotation(kind: Column, shared: Column, n_mis: Column, threshold: int
 
 def flag_crowded(rows: DataFrame, molecule: list[str], most: int = 5, column: str = "annotation") -> DataFrame:
     """DNMs of molecules that hold `most` DNMs or more become FPD. Contigs don't separate a molecule."""
-    held = rows.where(F.col(column) == "DNM").groupBy(*molecule).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= most)
-    out = rows.join(held, molecule, "left")
-    return out.withColumn(column, F.when((F.col(column) == "DNM") & F.col("__n").isNotNull(), "FPD").otherwise(F.col(column))).drop("__n")
+    known = F.lit(True)
+    for c in molecule:
+        known = known & F.col(c).isNotNull()
+    n = F.count_if(F.col(column) == "DNM").over(Window.partitionBy(*molecule))
+    crowded = (F.col(column) == "DNM") & known & (F.col("__n") >= most)
+    return rows.withColumn("__n", n).withColumn(column, F.when(crowded, "FPD").otherwise(F.col(column))).drop("__n")
 
 
 def supported_alone(rows: DataFrame, site: list[str], least: int) -> DataFrame:

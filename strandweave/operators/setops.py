@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def shared_space(rows: DataFrame, sample: str, key: Sequence[str], samples: int | None = None) -> DataFrame:
@@ -32,6 +32,15 @@ def shared_with_others(rows: DataFrame, holders: DataFrame, own: DataFrame, samp
     return out.withColumn("shared", F.coalesce("n_samples", F.lit(0)) - F.coalesce("__own", F.lit(0))).drop("n_samples", "__own")
 
 
+def with_shared(rows: DataFrame, sample: str, key: Sequence[str]) -> DataFrame:
+    """rows with `shared`: the samples besides the row's own that hold its key, among these rows. One shuffle, by key.
+
+    Rows without a sample or a part of the key are left out.
+    """
+    known = rows.na.drop(subset=[sample, *key])
+    return known.withColumn("shared", F.size(F.collect_set(sample).over(Window.partitionBy(*key))) - 1)  # a set of samples
+
+
 def ranked(rows: DataFrame, contigs: DataFrame, contig: str = "contig", rank: str = "idx") -> DataFrame:
     """rows with contig_rank: the contig's place in the reference; unknown contigs come after all others.
 
