@@ -5,9 +5,11 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from strandweave.operators import complexity, kmers, pairing, setops
+from strandweave.operators import complexity, kmers, molecules, pairing, setops
 from strandweave.plans.catalogue import QUERIES
 
+from .test_molecules import READS, random_read
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -76,3 +78,14 @@ def test_short_sequences_lie_end_to_end(spark, monkeypatch):
     for size in (1 << 18, 100):
         monkeypatch.setattr(complexity, "SLICE", size)
         assert sorted(tuple(r) for r in complexity.of_sequences(table, "id", "seq").select("id", "start", "end").collect()) == want and len(want) > 30
+
+
+def test_reads_are_dealt_to_as_many_tasks_as_asked(spark):
+    rng = random.Random(9)
+    genome = "".join(rng.choices("ACGT", k=600))
+    reads = spark.createDataFrame([random_read(rng, genome, "a", k // 2, "fwd" if k % 2 else "rev", k) for k in range(60)], READS)
+    tiles = molecules.reference_tiles(spark.createDataFrame([("a", genome)], "contig string, seq string"), 64)
+    one, two = (molecules.walked(reads, tiles, molecules.Rules(min_bq=1, trim=0), size=64, tasks=n) for n in (None, 5))
+    told = lambda df: sorted((str(r) for r in df.collect()))
+    assert told(one) == told(two) and len(told(two)) >= 5
+    assert plan(two).count(", 5), REPARTITION_BY_NUM") >= 3
