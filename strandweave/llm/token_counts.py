@@ -1,24 +1,28 @@
 """Token counts by offset-mapped attribution.
 
-A whole document is encoded once, as the tokenizer does it. Its tokens' character
-spans meet the spans of its sections in an interval join over two sorted lists,
-and a token that crosses a boundary goes to one section by a stated rule, so
-that the counts of sections that tile a text add up to the document's. No
-rows shuffle: a document carries its sections.
+A whole document's tokens get their character spans once, as the tokenizer has them
+(no merge crosses the pieces that its own pattern makes of a text, so a piece's
+tokens are remembered and laid at its place). The spans meet those of the sections in an
+interval join over two sorted lists, and a token that crosses a boundary goes to one
+section by a stated rule, so that the counts of sections that tile a text add up
+to the document's. No rows shuffle: a document carries its sections.
 """
 
 from __future__ import annotations
 
+import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Tokenizer
 
-from .tokens import tokenizer_path
+from .tokens import BYTE_LETTERS, Memory, tokenizer_path
 
 #: start: where the token's first character lies; end: its last; majority: where most of its characters lie, the first of equals.
 RULES = ("start", "end", "majority")
@@ -80,9 +84,79 @@ def attributed(tokens: np.ndarray, sections: np.ndarray, rule: str) -> tuple[np.
 COLUMNS = ("section", "start", "end", "n_tokens", "n_crossing", "doc_tokens")
 
 
+#: The pieces that byte-level BPE makes of a text, one after the other, before it merges within each.
+PIECES = regex.compile(r"'(?:[stmd]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The letter that stands for a space, and packings of so many pairs.
+SPACE, _PAIRS = chr(BYTE_LETTERS[32]), [struct.Struct(f"<{2 * n}I") for n in range(32)]
+#: Bytes that a worker's memory of pieces may take, as in `tokens`: twice as much as words do, since pieces are more.
+MOST_BYTES = 150_000_000
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+
+class PieceSpans(Memory):
+    """piece -> its tokens' starts and ends in characters, as pairs of little-endian 32-bit words.
+
+    Texts that hold a special token, or a character of which `regex` and the tokenizer's
+    own pattern don't think alike (their Unicode versions may differ), are encoded
+    by the tokenizer, and so are all of one that isn't plain byte-level BPE.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(MOST_BYTES)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        told = json.loads(self.tokenizer.to_str())
+        self.specials = [t["content"] for t in told["added_tokens"]]
+        plain = {k: v for k, v in (told["pre_tokenizer"] or {}).items() if k in BYTE_LEVEL} == BYTE_LEVEL and told["model"]["type"] == "BPE"
+        self.by_pieces = plain and not any(told[k] for k in ("normalizer", "post_processor", "truncation", "padding")) and not told["model"]["dropout"]
+        self.alike, self.odd = set(), set()
+
+    def make(self, piece: str) -> bytes:
+        ascii = piece.isascii()
+        letters = piece.replace(" ", SPACE) if ascii and piece.isprintable() else piece.encode().decode("latin-1").translate(BYTE_LETTERS)
+        ends = list(accumulate([len(t.value) for t in self.model.tokenize(letters)]))
+        spans = [0]
+        if ascii:
+            for e in ends:
+                spans += (e, e)
+            spans.pop()
+        else:  # from bytes to characters
+            owner: list[int] = []
+            for k, c in enumerate(piece):
+                owner += (k,) if c < "\x80" else (k,) * len(c.encode())
+            owner.append(len(piece))
+            for e in ends:
+                spans += (owner[e - 1] + 1, owner[e])
+            spans.pop()
+        return _PAIRS[len(ends)].pack(*spans) if len(ends) < len(_PAIRS) else struct.pack(f"<{2 * len(ends)}I", *spans)
+
+    def probed(self, characters: set[str]) -> None:
+        """Sort new characters into those that both patterns split alike beside each kind of others, and odd ones."""
+        for c in characters:
+            probe = f"a{c}a1{c}1!{c}! {c}\n"
+            same = PIECES.findall(probe) == [probe[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(probe)]
+            (self.alike if same else self.odd).add(c)
+
+    def spans(self, text: str) -> np.ndarray:
+        """(n, 2) starts and ends in characters of a whole text's tokens, in order, as `token_spans` has them."""
+        if not self.by_pieces or any(s in text for s in self.specials):
+            return token_spans(self.tokenizer, text)
+        found = set(text)
+        if not found <= self.alike:
+            self.probed(found - self.alike - self.odd)
+            if not found.isdisjoint(self.odd):
+                return token_spans(self.tokenizer, text)
+        pieces = PIECES.findall(text)
+        parts = list(map(self.__getitem__, pieces))
+        ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+        tokens = np.fromiter(map(len, parts), np.int64, len(parts)) // 8
+        at = np.repeat(np.concatenate(([0], ends[:-1]))[: len(pieces)], tokens)
+        return np.frombuffer(b"".join(parts), "<u4").reshape(-1, 2) + at[:, None]
+
+
 @lru_cache(maxsize=2)
-def whole_text_tokenizer(path: str) -> Tokenizer:
-    return Tokenizer.from_file(path)
+def piece_spans(path: str) -> PieceSpans:
+    return PieceSpans(path)
 
 
 def attribute(docs: DataFrame, text: str = "text", ident: str = "doc_id", sections: str | None = None, rule: str = "majority", tokenizer: str | None = None) -> DataFrame:
@@ -91,8 +165,8 @@ def attribute(docs: DataFrame, text: str = "text", ident: str = "doc_id", sectio
     sections: an array<struct<start:int,end:int>> column of character spans;
     without it, a text's lines with their newlines. Spans are sorted; null
     ones are left out and ends are clipped to the text. Overlapping spans
-    raise an error. Null text is empty: its one line has no tokens. Texts are
-    encoded whole, whatever their length, and special tokens' strings count as those
+    raise an error. Null text is empty: its one line has no tokens. Tokens are
+    those of the whole text, whatever its length, and special tokens' strings count as those
     tokens. Rows repeated with the same ident give repeated rows; no rows, none. Other
     columns are not touched, whatever their names; an ident named like one of the result's columns is an error.
     """
@@ -114,14 +188,14 @@ def attribute(docs: DataFrame, text: str = "text", ident: str = "doc_id", sectio
         return np.array(kept, np.int64).reshape(-1, 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = whole_text_tokenizer(path)
+        encoder = piece_spans(path)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part, whose, found = batch.slice(at, 256), [], []
                 for k in range(len(part)):
                     body = part.column(1)[k].as_py() or ""
                     where = spans_of(body, part.column(2)[k].as_py())
-                    spans = token_spans(encoder, body)
+                    spans = encoder.spans(body)
                     tokens, touches = attributed(spans, where, rule)
                     whose.append(np.full(len(where), k))
                     found.append((np.arange(len(where)), where[:, 0], where[:, 1], tokens, touches, np.full(len(where), len(spans))))

@@ -104,3 +104,27 @@ def test_long_texts_and_clashing_names(spark, tok):
     assert len(got) == 12_000 and sum(r.n_tokens for r in got) == 2 * len(tok.encode(text, add_special_tokens=False).ids)
     with pytest.raises(ValueError, match="start"):
         token_counts.attribute(docs(spark, [(1, "a")]).withColumnRenamed("doc_id", "start"), ident="start")
+
+
+def test_spans_by_pieces_equal_the_tokenizers_and_cost_less(tok, monkeypatch):
+    rng = random.Random(5)
+    spans = token_counts.PieceSpans(tokenizer_path("byte_bpe_50k.json"))
+    odd = ["'", "'s", "'re", "'LL", " '", "''s", "\n", " ", "\t", "\x85", "\xa0", "\x1c", "\u2028", "é", "e\u0301", "ß", "Я", "日", "😀", "½", "٣", "Ⅷ", "x", "ab", "12", "_", "\u0558", "\u088f", "\U00010940", "<|endoftext|>"]
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choice(odd) for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    for text in texts:
+        assert spans.spans(text).tolist() == token_counts.token_spans(tok, text).tolist(), text
+    assert spans.by_pieces and spans.odd.isdisjoint("\n'éЯ日") and "é" in spans.alike
+
+    def whole(*_):
+        raise AssertionError("a plain text was encoded as a whole")
+
+    monkeypatch.setattr(token_counts, "token_spans", whole)
+    assert len(spans.spans("It's a plain text,\nGrüße  an alle. " * 50)) > 50
+
+
+def test_other_tokenizers_encode_texts_as_a_whole():
+    path = tokenizer_path("word_bpe_49k.json")
+    spans, plain = token_counts.PieceSpans(path), Tokenizer.from_file(path)
+    assert not spans.by_pieces
+    for text in [t or "" for t in TEXTS]:
+        assert spans.spans(text).tolist() == token_counts.token_spans(plain, text).tolist()
